@@ -1 +1,6 @@
+"""Operators and jobs applied to the driver tables. Importing registers every query."""
 
+from portfolio_ops.analogues import ledger  # noqa: F401
+from portfolio_ops.analogues.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
