@@ -11,6 +11,7 @@ from portfolio_ops.plans.claim_movement import ClaimInputs, claim_movement_ledge
 from portfolio_ops.schemas import (
     CLAIM, EXCHANGE_RATE, EXPOSURE, EXPOSURE_EXT, LEDGER, MOVEMENT, MOVEMENT_EXT, OUTSTANDING,
     PAID, PARTS, SIDE_AMOUNTS, TO_DATE, amounts)
+from portfolio_ops.session import stage
 
 
 def claim_inputs(t: Tables) -> ClaimInputs:
@@ -18,6 +19,8 @@ def claim_inputs(t: Tables) -> ClaimInputs:
              .agg(F.sum(money("l_extendedprice")).alias("_indemnity"),
                   F.sum(money("l_quantity")).alias("_fees"), F.sum(money("l_tax")).alias("_defence"),
                   F.min("l_shipdate").alias("_shipped")))
+    # the job reads movements as a stored table, so the derived one is stored too
+    lines = stage(lines, "movements")
     number, flag, status = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     prefix = F.when(number.isin(1, 4, 7), "YA").when(number.isin(2, 5), "YB").otherwise("YC")
     reserve = flag == "N"

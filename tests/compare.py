@@ -53,7 +53,9 @@ if __name__ == "__main__":
     from portfolio_ops import build_session
     sf = sys.argv[1]
     spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8",
-                                                    "spark.ui.enabled": "false"})
+                                                    "spark.ui.enabled": "false",
+                                                    "spark.driver.memory": "12g",
+                                                    "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     oracles = entry.oracle_sql()
     for name, fn in entry.queries().items():
