@@ -1,6 +1,7 @@
 """Operators and jobs applied to the driver tables. Importing registers every query."""
 
-from portfolio_ops.analogues import ledger, jobs, policy, homeowners  # noqa: F401
+from portfolio_ops.analogues import (  # noqa: F401
+    homeowners, jobs, ledger, operators, policy, stream, vault)
 from portfolio_ops.analogues.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portfolio_ops.sources.registry import read_table
+from portfolio_ops.sources.snapshot import nullable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,10 +20,10 @@ class Tables:
     """Driver tables by attribute: ``t.orders``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self._dir = spark, sf_dir
+        self.spark, self.folder = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self._dir, name)
+        return read_table(self.spark, self.folder, name)
 
 
 def query(name: str, sql: str | None = None):
@@ -52,23 +53,21 @@ def day(name: str | Column, alias: str | None = None) -> Column:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order; absent ones are NULL."""
-    return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields])
+    return df.to(nullable(schema))
 
 
 def flat(df: DataFrame) -> DataFrame:
     """Comparable types: decimals to double, times to text, flags to 0/1, integers to long."""
     out = []
     for f in df.schema.fields:
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.DecimalType):
-            out.append(double(f.name))
+            name = f"CAST({name} AS DOUBLE) AS {name}"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            out.append(day(f.name))
+            name = f"date_format({name}, 'yyyy-MM-dd') AS {name}"
         elif isinstance(f.dataType, (T.BooleanType, T.IntegerType)):
-            out.append(F.col(f.name).cast("long").alias(f.name))
+            name = f"CAST({name} AS BIGINT) AS {name}"
         elif isinstance(f.dataType, T.BinaryType):
-            out.append(F.lower(F.hex(f.name)).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            name = f"lower(hex({name})) AS {name}"
+        out.append(name)
+    return df.selectExpr(*out)

@@ -90,12 +90,12 @@ def changed_policies(inputs: PolicyInputs, stored: DataFrame, mark) -> DataFrame
                   folded("Code"), {"_method": F.col("Name")})
     computed = policy_rules()
 
-    def value(name: str) -> Column:
+    def value(name: str) -> Column | str:
         if name in computed:
             return computed[name].alias(name)
         side = ("p" if name in fv.POLICY_OWN_COLUMNS
                 else "s" if name in fv.POLICY_SECTION_COLUMNS else "e")
-        return F.col(f"{side}.{name}").alias(name)
+        return f"{side}.{name}"
 
     return select_for(rows.select(*[value(n) for n in fv.POLICY_COLUMNS]), POLICY_ALL).distinct()
 

@@ -101,7 +101,12 @@ def select_for(df: DataFrame, schema: T.StructType) -> DataFrame:
     absent = [f.name for f in schema.fields if f.name not in df.columns]
     if absent:
         raise ValueError(f"columns missing for insert: {absent}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.to(nullable(schema))
+
+
+def nullable(schema: T.StructType) -> T.StructType:
+    """Same columns, all nullable: whether a value may be missing is the contract's check."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
 def publish_together(spark: SparkSession, loads: Sequence[tuple[SnapshotTable, DataFrame, dict]]) -> list[LoadResult]:
