@@ -14,8 +14,11 @@ from portfolio_ops.functions import fixed_values as fv
 def _as_text(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     col = F.col(name)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(col.cast("timestamp"), fv.HASH_TIME_FORMAT)
+    if isinstance(kind, T.TimestampType):
+        return F.date_format(col, fv.HASH_TIME_FORMAT)
+    if isinstance(kind, T.TimestampNTZType):  # no zone of its own: written as UTC
+        local = fv.HASH_TIME_FORMAT.removesuffix("xxx")
+        return F.concat(F.date_format(col, local), F.lit("+00:00"))
     if isinstance(kind, T.BinaryType):
         return F.hex(col)
     return col.cast("string")
