@@ -9,7 +9,8 @@ from portfolio_ops.analogues.registry import Tables, flat, query
 from portfolio_ops.operators.vault import satellite_as_of
 from portfolio_ops.plans import vault_model
 from portfolio_ops.plans.vault_load import load_table
-from portfolio_ops.sources.snapshot import nullable, select_for
+from portfolio_ops.session import stage
+from portfolio_ops.sources.snapshot import nullable
 
 
 def _empty(t: Tables, name: str) -> DataFrame:
@@ -95,9 +96,10 @@ FIRST_LOAD = "1998-01-01"
 
 def satellite(t: Tables) -> DataFrame:
     """Two loads: rows up to a date, then the whole source again."""
-    name, source = "SAT_POLICY_DETAIL_RAW", premium_source(t)
+    name, source = "SAT_POLICY_DETAIL_RAW", stage(premium_source(t), "versions")
     early = source.filter(F.col("LOAD_DATETIME") < F.lit(FIRST_LOAD).cast("timestamp_ntz"))
-    return load_table(name, load_table(name, _empty(t, name), early), source)
+    first = stage(load_table(name, _empty(t, name), early), "satellite")
+    return load_table(name, first, source)
 
 
 _SATELLITE = """

@@ -14,7 +14,7 @@ dropped, capped or sampled on either way.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -152,18 +152,28 @@ def split_by(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> tuple[Data
     return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
 
 
-def ordered_groups(df: DataFrame, spec: Ordered, group_rows: int = GROUP_ROWS,
-                   sized_by: DataFrame | None = None) -> DataFrame:
-    """``spec`` for every group, large groups segmented and the rest plain.
+def windowing(sized_by: DataFrame, keys: Sequence[str],
+              group_rows: int = GROUP_ROWS) -> Callable[[DataFrame, Ordered], DataFrame]:
+    """How to run specs over groups of these keys: large groups segmented, the rest plain.
 
-    ``sized_by`` is a cheaper table to count group sizes on (for example the base
-    table before joins). It only decides the way taken, never the result.
+    Group sizes are counted on ``sized_by``, which may be a cheaper table than the one
+    windowed (for example the base table before joins). They only decide the way
+    taken, never the result.
     """
-    large = large_groups(sized_by if sized_by is not None else df, spec.keys, group_rows)
+    large = large_groups(sized_by, keys, group_rows)
     if large is None:
-        return plain(df, spec)
-    small_rows, large_rows = split_by(df, large, spec.keys)
-    return plain(small_rows, spec).unionByName(segmented(large_rows, spec))
+        return plain
+
+    def by_size(df: DataFrame, spec: Ordered) -> DataFrame:
+        small_rows, large_rows = split_by(df, large, keys)
+        return plain(small_rows, spec).unionByName(segmented(large_rows, spec))
+    return by_size
+
+
+def ordered_groups(df: DataFrame, spec: Ordered, group_rows: int = GROUP_ROWS,
+                   sized_by: DataFrame | None = None) -> DataFrame:
+    """``spec`` for every group, each on the way that fits its size."""
+    return windowing(sized_by if sized_by is not None else df, spec.keys, group_rows)(df, spec)
 
 
 def reverse_position(position: Column | str, group_size: Column | str) -> Column:

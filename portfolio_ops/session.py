@@ -13,7 +13,11 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # split skewed join partitions even where a later step wanted their partitioning
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # hash join instead of sort-merge when every measured build partition is small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # no Python call-site capture per expression: wide plans build about twice as fast
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
