@@ -78,22 +78,30 @@ class SnapshotTable:
         written files, for an append on the whole new version.
         """
         log = self._log()
-        version = (log[0]["version"] if log else 0) + 1
         earlier = list(log[0]["folders"]) if log and mode == "append" else []
-        folder = f"data/v{version}-{uuid.uuid4().hex[:12]}"
-        rows = Observation()
-        ordered = select_for(df, self.schema)
-        (ordered.observe(rows, F.count(F.lit(1)).alias("rows"))
-         .write.parquet(f"{self.base}/{folder}"))
+        folder, rows = self.write(df)
         folders = [*earlier, folder]
         if contract is not None:
             whole = self._spark.read.schema(self.schema).parquet(
                 *[f"{self.base}/{f}" for f in folders])
             enforce(whole, contract, parents)
-        count = rows.get["rows"]
-        entry = self._spark.createDataFrame([(version, folders, count, mode, batch)], LOG_SCHEMA)
+        return self.switch(folders, rows, mode, batch)
+
+    def write(self, df: DataFrame) -> tuple[str, int]:
+        """Write rows to a new data folder nobody reads yet; (folder, row count)."""
+        folder = f"data/{uuid.uuid4().hex}"
+        counted = Observation()
+        (select_for(df, self.schema).observe(counted, F.count(F.lit(1)).alias("rows"))
+         .write.parquet(f"{self.base}/{folder}"))
+        return folder, counted.get["rows"]
+
+    def switch(self, folders: Sequence[str], rows: int, mode: str,
+               batch: str | None = None) -> LoadResult:
+        """Make the folders the newest version."""
+        version = self.version() + 1
+        entry = self._spark.createDataFrame([(version, list(folders), rows, mode, batch)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.base}/log")
-        return LoadResult(self.base, version, count)
+        return LoadResult(self.base, version, rows)
 
 
 def select_for(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -109,9 +117,7 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def publish_together(spark: SparkSession, loads: Sequence[tuple[SnapshotTable, DataFrame, dict]]) -> list[LoadResult]:
-    """Publish several tables of one job, one after the other.
-
-    Every table is complete or untouched; a failure stops before later tables.
-    """
-    return [table.publish(df, **options) for table, df, options in loads]
+def publish_together(loads: Sequence[tuple[SnapshotTable, DataFrame]]) -> list[LoadResult]:
+    """Refresh several tables of one job: all are written before the first is switched."""
+    prepared = [(table, *table.write(df)) for table, df in loads]
+    return [table.switch([folder], rows, "replace") for table, folder, rows in prepared]

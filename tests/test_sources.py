@@ -55,7 +55,11 @@ def test_failed_publish_leaves_the_previous_version(spark, tmp_path):
 def test_publish_together(spark, tmp_path):
     a, b = (SnapshotTable(spark, str(tmp_path / n), KV) for n in "ab")
     df = spark.createDataFrame([("a", 1)], KV)
-    assert [r.version for r in publish_together(spark, [(a, df, {}), (b, df, {"mode": "append"})])] == [1, 1]
+    assert [r.version for r in publish_together([(a, df), (b, df)])] == [1, 1]
+    bad = df.withColumn("v", F.raise_error(F.lit("boom")).cast("long"))
+    with pytest.raises(Exception, match="boom"):
+        publish_together([(a, df), (b, bad)])
+    assert a.version() == b.version() == 1  # nothing was switched
 
 
 def test_registry(spark, tmp_path):
