@@ -11,15 +11,30 @@ from pyspark.sql import functions as F
 from portfolio_ops.functions.exprs import c, is_true, like_any
 
 
-def reject_repeated_keys(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def spread_incomplete(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Extra join key that is 0 for complete keys and a row hash for the others.
+
+    Keys with a missing part never match, so the hash changes no result; it keeps rows
+    with missing keys from meeting in one task.
+    """
+    return df.withColumn(out, F.when(_complete(keys), F.lit(0).cast("long"))
+                         .otherwise(F.xxhash64(*df.columns)))
+
+
+def reject_repeated_keys(df: DataFrame, keys: Sequence[str], what: str = "source",
+                         partition_by: Sequence[str] = ()) -> DataFrame:
     """Fail when a complete key occurs twice, without a separate pass.
 
     The row number uses the hash partitioning and sort the following join on the
     same keys needs anyway. Keys with a missing part never match and may repeat.
     """
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    bad = (F.col("_copy") > 1) & complete
+    columns = [*keys, *partition_by]
+    number = F.row_number().over(Window.partitionBy(*columns).orderBy(*columns))
+    bad = (F.col("_copy") > 1) & _complete(keys)
     message = F.concat(F.lit(f"repeated {what} key: "),
                        F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
     return (df.withColumn("_copy", number)
@@ -37,10 +52,12 @@ def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], ha
     * source only: inserted whole;
     * target only: dropped when ``delete_missing``, else kept.
     """
-    stored = target.select(*[F.col(n).alias(f"_t_{n}") for n in target.columns],
+    stored = spread_incomplete(target, keys, "_spread")
+    stored = stored.select(*[F.col(n).alias(f"_t_{n}") for n in stored.columns],
                            F.lit(True).alias("_in_t"))
-    fresh = reject_repeated_keys(source, keys).withColumn("_in_s", F.lit(True))
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
+    fresh = reject_repeated_keys(spread_incomplete(source, keys, "_spread"), keys,
+                                 partition_by=["_spread"]).withColumn("_in_s", F.lit(True))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in [*keys, "_spread"]])
     joined = stored.join(fresh, on, "full")
 
     has_t, has_s = is_true(F.col("_in_t")), is_true(F.col("_in_s"))

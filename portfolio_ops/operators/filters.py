@@ -38,7 +38,9 @@ def touched_at(created: Column | str, modified: Column | str) -> Column:
 
 def changed_since(mark: Column | dt.datetime, *times: Column) -> Column:
     """True when any of the times is at or after the mark (inclusive)."""
-    bound = mark if isinstance(mark, Column) else F.lit(mark)
+    # stored times carry no zone, so the mark must not pass through the session's zone
+    bound = (mark if isinstance(mark, Column)
+             else F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz"))
     tests = [is_true(t >= bound) for t in times]
     out = tests[0]
     for test in tests[1:]:

@@ -31,7 +31,8 @@ def key_ranks(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_keys"))
                .select("_part", F.coalesce(F.sum("_keys").over(before), F.lit(0)).alias("_before")))
-    return (placed.join(offsets, "_part")
+    # one row per shuffle partition, so its size is bounded by the session's partition number
+    return (placed.join(F.broadcast(offsets), "_part")
             .select(*keys, (F.col("_before") + F.col("_row") + 1).cast("long").alias(out)))
 
 

@@ -87,6 +87,10 @@ class SnapshotTable:
             enforce(whole, contract, parents)
         return self.switch(folders, rows, mode, batch)
 
+    def compact(self) -> LoadResult:
+        """Rewrite the current version as one folder, after many appends."""
+        return self.publish(self.read())
+
     def write(self, df: DataFrame) -> tuple[str, int]:
         """Write rows to a new data folder nobody reads yet; (folder, row count)."""
         folder = f"data/{uuid.uuid4().hex}"

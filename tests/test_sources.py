@@ -32,9 +32,10 @@ def test_publish_append_replace(spark, tmp_path):
     assert (first.version, first.rows_inserted) == (1, 1)
     assert table.publish(spark.createDataFrame([("b", 2), ("c", 3)], KV), "append").rows_inserted == 2
     assert rows(table.read()) == [("a", 1), ("b", 2), ("c", 3)]
+    assert table.compact().rows_inserted == 3 and rows(table.read()) == [("a", 1), ("b", 2), ("c", 3)]
     # a table may be replaced by a query over itself
     table.publish(table.read().filter("v > 1"))
-    assert rows(table.read()) == [("b", 2), ("c", 3)] and table.version() == 3
+    assert rows(table.read()) == [("b", 2), ("c", 3)] and table.version() == 4
 
 
 def test_failed_publish_leaves_the_previous_version(spark, tmp_path):
