@@ -59,4 +59,19 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), "staged", f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems, so that any store works."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a table made by ``stage``, once nothing reads it any more."""
+    path = df.__dict__.pop("_staged_at", None)
+    if path:
+        remove(df.sparkSession, path)
