@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from portfolio_ops.llm import bpe, packing
+from portfolio_ops.llm import bpe, covertree, langid, lshforest, packing, quality
 from portfolio_ops.sources.registry import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,47 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(read_table(spark, sf_dir, "documents"), BYTE_BPE, 1024)
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id,
+       e.vec_id = c.component_id AS kept
+FROM embeddings e
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM link GROUP BY a) n ON n.a = e.vec_id
+"""
+
+
+@query("op1_embedding_near_dedup", OP1_SQL)
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.threshold_classes(read_table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, read_table(spark, sf_dir, "labels")), 0.7)
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+@query("op10_nearest_neighbours")
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lshforest.nearest(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
