@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from portfolio_ops.llm import bpe, covertree, langid, lshforest, packing, quality
+from portfolio_ops.llm import bpe, covertree, langid, lshforest, packing, quality, suffix
 from portfolio_ops.sources.registry import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,28 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nearest_neighbours")
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lshforest.nearest(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+OP9_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS i FROM d),
+g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM w WHERE 2 * i + 100 <= len(h)),
+f AS (SELECT s, min(doc_id) AS first_doc FROM g GROUP BY s),
+hit AS (SELECT g.doc_id, g.i FROM g JOIN f USING (s) WHERE f.first_doc < g.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM hit),
+b AS (SELECT w.doc_id, w.i, substr(w.h, 2 * w.i + 1, 2) AS x, gone.i IS NOT NULL AS removed
+      FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.i = gone.i),
+m AS (SELECT *, lag(removed, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM b),
+k AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE removed) AS n_removed,
+             count(*) FILTER (WHERE removed AND NOT before) AS n_spans,
+             coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE NOT removed), '') AS kept
+      FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(k.n_bytes, 0) AS n_bytes, coalesce(k.n_removed, 0) AS n_removed,
+       coalesce(k.n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op9_suffix_array_dedup", OP9_SQL)
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_digests(read_table(spark, sf_dir, "documents"))

@@ -165,6 +165,16 @@ def span_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nd
     return mix(h + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """True where a sorted row differs from the one before it; the first row does."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out) > 1:
+        out[1:] = False
+        for column in columns:
+            out[1:] |= column[1:] != column[:-1]
+    return out
+
+
 class Pieces:
     """The pieces of one chunk, each distinct piece numbered once."""
 
