@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from portfolio_ops.llm import bpe, covertree, langid, lshforest, packing, quality, suffix
+from portfolio_ops.llm import bpe, covertree, langid, lshforest, minhash, packing, quality, suffix
 from portfolio_ops.sources.registry import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,8 @@ FROM d LEFT JOIN k USING (doc_id)
 @query("op9_suffix_array_dedup", OP9_SQL)
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeat_digests(read_table(spark, sf_dir, "documents"))
+
+
+@query("op7_minhash_near_dedup")
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
