@@ -269,3 +269,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, batch_bytes
     return placed.join(named, "class").select("doc_id", "class_id").union(alone) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"),
                                        F.col("class_id").isNull()))
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class the smallest ``doc_id`` stays.
+
+    All columns are kept. Rows without an id stay; rows that repeat an id share its decision.
+    """
+    gone = near_duplicates(docs, similarity).where("not kept and doc_id is not null") \
+        .select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

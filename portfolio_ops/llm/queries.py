@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from portfolio_ops.llm import bpe, covertree, langid, lshforest, minhash, packing, quality, suffix
+from portfolio_ops.llm import bpe, covertree, langid, lshforest, minhash, packing, pii, quality, suffix
 from portfolio_ops.sources.registry import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+SURROGATE_KEY = "replace this key by a secret"  # a parameter of the operator
 
 
 def query(name: str, sql: str | None = None):
@@ -114,3 +115,8 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_minhash_near_dedup")
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op3_pii_surrogates")
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scrub(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)

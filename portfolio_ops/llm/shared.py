@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,27 +26,26 @@ def n_batches(docs: DataFrame, batch_bytes: int) -> int:
 
 
 def in_batches(docs: DataFrame, batches: int) -> DataFrame:
-    """``batch, doc_id, text``, shuffled by batch. Every reader of it shares one exchange.
-
-    A row without id is dealt by its text.
+    """``batch, doc_id, text`` and what else ``docs`` has (``carried``), shuffled by batch. Every
+    reader of it shares one exchange. A row without id is dealt by its text.
     """
-    number = F.pmod(F.coalesce(F.xxhash64("doc_id"), F.xxhash64("text")), F.lit(batches))
-    number = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(batches))) \
-        .otherwise(number)
-    return docs.select(number.cast("int").alias("batch"), "doc_id", "text") \
+    dealt_by = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    return docs.withColumn("batch", F.pmod(dealt_by, F.lit(batches)).cast("int")) \
         .repartition(max(1, min(batches, 1 << 16)), "batch")
 
 
 NULL_ID = np.iinfo(np.int64).max
 
 
+def in_order(table: pa.Table) -> pa.Table:
+    """A batch in an order that does not depend on the shuffle; null ids are last."""
+    return table.append_column("order", pc.fill_null(table["doc_id"], int(NULL_ID))) \
+        .sort_by([("order", "ascending"), ("text", "ascending")])
+
+
 def sorted_batch(table: pa.Table) -> tuple[np.ndarray, list[str]]:
-    """Ids and texts of a batch in an order that does not depend on the shuffle; null ids
-    are last and compare as larger than every id."""
-    import pyarrow.compute as pc
-    table = table.select(["doc_id", "text"]).append_column(
-        "order", pc.fill_null(table["doc_id"], int(NULL_ID)))
-    table = table.sort_by([("order", "ascending"), ("text", "ascending")])
+    """Ids and texts of a batch in order. A null id compares as larger than every id."""
+    table = in_order(table.select(["doc_id", "text"]))
     return table["order"].to_numpy().astype(np.int64), table["text"].to_pylist()
 
 

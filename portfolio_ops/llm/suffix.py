@@ -14,7 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from portfolio_ops.llm import shared
 from portfolio_ops.llm.text import changes, id_and_text, span_hashes
@@ -381,8 +383,7 @@ def _batch_docs(own: Owners, gone: np.ndarray):
         yield own.raw[a:b], gone[a:b]
 
 
-def _removals(docs: DataFrame, finish, schema: str, batch_bytes: int) -> DataFrame:
-    rows = id_and_text(docs)
+def _removals(rows: DataFrame, finish, schema, batch_bytes: int) -> DataFrame:
     batches = shared.n_batches(rows, batch_bytes)
     count = shared.range_count(batches)
     batched = shared.in_batches(rows, batches)
@@ -403,14 +404,12 @@ def _removals(docs: DataFrame, finish, schema: str, batch_bytes: int) -> DataFra
                                    "cast(null as binary)", "contexts", "starts", "lengths", "lows"))
 
     def cut(table: pa.Table, mixed: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
         ids, texts = shared.sorted_batch(table)
         own = own_windows(ids, texts)
         is_answer = pc.is_valid(mixed["range"])
         found = batch_contexts(own, mixed.filter(is_answer), count)
         gone = removed_bytes(own, found, mixed.filter(pc.invert(is_answer)))
-        doc_ids = pa.array(ids, mask=ids == shared.NULL_ID)
-        return finish(doc_ids, _batch_docs(own, gone))
+        return finish(shared.in_order(table), _batch_docs(own, gone))
 
     return batched.groupBy("batch").cogroup(tagged.groupBy("batch")).applyInArrow(cut, schema)
 
@@ -425,23 +424,57 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame
     A null ``doc_id`` is larger than every id: it may lose bytes but takes none from others.
     Other columns are ignored; no rows give no rows.
     """
-    def finish(ids, docs):
-        return _table(ids, [(len(r), int(g.sum()), _spans(g), r[~g].tobytes()) for r, g in docs],
-                      {"kept": pa.binary()})
-    return _removals(docs, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, "
+    def finish(table, docs):
+        return _table(table["doc_id"], [(len(r), int(g.sum()), _spans(g), r[~g].tobytes())
+                                        for r, g in docs], {"kept": pa.binary()})
+    return _removals(id_and_text(docs), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, "
                                    "kept binary", batch_bytes)
 
 
 def repeat_digests(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``remove_repeats`` with ``kept_sha256`` made in the same pass instead of the bytes."""
-    def finish(ids, docs):
-        return _table(ids, [(len(r), int(g.sum()), _spans(g),
-                             hashlib.sha256(r[~g].tobytes()).hexdigest()) for r, g in docs],
-                      {"kept_sha256": pa.string()})
-    return _removals(docs, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, "
+    def finish(table, docs):
+        return _table(table["doc_id"], [(len(r), int(g.sum()), _spans(g),
+                                         hashlib.sha256(r[~g].tobytes()).hexdigest())
+                                        for r, g in docs], {"kept_sha256": pa.string()})
+    return _removals(id_and_text(docs), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, "
                                    "kept_sha256 string", batch_bytes)
 
 
+def whole_characters(raw: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` without the bytes of characters of which some bytes stay."""
+    heads = np.flatnonzero((raw & 0xC0) != 0x80)
+    if not len(heads):
+        return gone
+    whole = np.logical_and.reduceat(gone, heads)
+    return np.repeat(whole, np.diff(np.append(heads, len(raw))))
+
+
+def remove_repeats_from_rows(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The rows of ``docs`` without the bytes that ``remove_repeats`` takes from ``text``.
+
+    All columns are kept, whatever their names. A character that loses only some of its bytes
+    stays, so that the text remains valid. Null text stays null.
+    """
+    names = list(docs.columns)
+    others = [i for i, c in enumerate(names) if c not in ("doc_id", "text")]
+    place = {c: i for i, c in enumerate(names)}
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    rows = inner.select(
+        F.col(f"c{place['doc_id']}").cast("long").alias("doc_id"),
+        F.coalesce(F.col(f"c{place['text']}"), F.lit("")).alias("text"),
+        F.col(f"c{place['text']}").isNull().alias("was_null"),
+        F.col(f"c{place['doc_id']}").alias("own_id"), *[f"c{i}" for i in others])
+
+    def finish(table, pieces):
+        kept = [r[~whole_characters(r, g)].tobytes().decode("utf-8") for r, g in pieces]
+        text = pa.array(kept, pa.string(), mask=table["was_null"].to_numpy())
+        columns = {"text": text, "doc_id": table["own_id"]}
+        return pa.table([columns[c] if c in columns else table[f"c{i}"]
+                         for i, c in enumerate(names)], names=names)
+    return _removals(rows, finish, docs.schema, batch_bytes)
+
+
 def _spans(gone: np.ndarray) -> int:
     return int((gone[1:] & ~gone[:-1]).sum() + (len(gone) > 0 and gone[0]))
 
