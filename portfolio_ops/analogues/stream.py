@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from portfolio_ops.analogues.jobs import rating_interim
 from portfolio_ops.analogues.registry import Tables, query
@@ -15,14 +16,30 @@ from portfolio_ops.sources.snapshot import SnapshotTable
 from portfolio_ops.streaming.key_industry import key_industry_stream
 
 
-@query("key_industry_stream", """
+_SQL = """
 SELECT event_type AS "BK_RATER_NAME", CAST(user_id AS VARCHAR) AS "BK_VERSION",
  CAST(event_id AS VARCHAR) AS "BK_RATING_ID", json_extract_string(props, '$.k') AS "KEY_INDUSTRY_KEY"
-FROM events WHERE event_type <> 'error' AND json_extract_string(props, '$.k') IS NOT NULL""")
-def drained_stream(t: Tables) -> DataFrame:
+FROM events WHERE event_type <> 'error' AND json_extract_string(props, '$.k') IS NOT NULL"""
+
+
+def _drained(t: Tables, parts: list[Column]) -> DataFrame:
+    """One drain of the events for each condition, each with a checkpoint of its own."""
     run = os.path.join(shared_dir(t.spark), "streams", uuid.uuid4().hex)
-    events = (t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet")
-              .parquet(t.folder))
     target = SnapshotTable(t.spark, f"{run}/table", KEY_INDUSTRY)
-    key_industry_stream(rating_interim(events), target, f"{run}/checkpoint", available_now=True).awaitTermination()
+    for k, part in enumerate(parts):
+        events = (t.spark.readStream.schema(t.events.schema)
+                  .option("pathGlobFilter", "events.parquet").parquet(t.folder))
+        key_industry_stream(rating_interim(events.filter(part)), target, f"{run}/checkpoint{k}",
+                            available_now=True).awaitTermination()
     return target.read().select("BK_RATER_NAME", "BK_VERSION", "BK_RATING_ID", "KEY_INDUSTRY_KEY")
+
+
+@query("key_industry_stream", _SQL)
+def drained_stream(t: Tables) -> DataFrame:
+    return _drained(t, [F.lit(True)])
+
+
+@query("key_industry_stream_restart", _SQL)
+def restarted_stream(t: Tables) -> DataFrame:
+    """The checkpoint is lost after the first events; the second stream reads all again."""
+    return _drained(t, [F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"), F.lit(True)])

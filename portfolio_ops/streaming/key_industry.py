@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from portfolio_ops.plans.key_industry import key_industry
@@ -16,17 +16,22 @@ def load_batch(interim: DataFrame, target: SnapshotTable, batch: str) -> None:
     target.publish(key_industry(interim, target.read()), mode="append", batch=batch)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id that Spark gave the query when its checkpoint was made; it lives as long as that."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def key_industry_stream(interim: DataFrame, target: SnapshotTable, checkpoint: str,
-                        stream_name: str = "key_industry",
                         available_now: bool = False) -> StreamingQuery:
     """Start loading a streaming ``interim``.
 
     "New" is decided against the stored table, so no watermark or state is kept. The
-    checkpoint remembers offsets; the published batch id makes a batch that was
-    written but not acknowledged a no-op when it is replayed.
+    checkpoint remembers offsets. A published batch carries the query's id and its number,
+    so one that was written but not acknowledged is a no-op when it is replayed, while a
+    query with a new checkpoint, which counts from 0 again, is never mistaken for it.
     """
     def each(df: DataFrame, batch_id: int) -> None:
-        load_batch(df, target, f"{stream_name}-{batch_id}")
+        load_batch(df, target, f"{query_id(df.sparkSession, checkpoint)}-{batch_id}")
 
     writer = interim.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if available_now:
