@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portfolio_ops.llm.sampling import bounded_sample, crc_remainder, passage
+from portfolio_ops.llm.shared import text_runs
 from portfolio_ops.llm.text import chunks, id_and_text, span_hashes
 
 LOWER, UPPER, DIGIT, BLANK, PLAIN, SYMBOL, BANG, LEAD, INNER = range(9)
@@ -46,6 +47,17 @@ class Lines:
 
 
 def read_lines(texts: list[str]) -> Lines:
+    """Lines of all texts, taken in runs so that the byte arrays stay small."""
+    parts = [_read(texts[a:b]) for a, b in text_runs(texts)]
+    if len(parts) == 1:
+        return parts[0]
+    counts = np.concatenate([np.diff(p.bounds) for p in parts] or [np.zeros(0, np.int64)])
+    return Lines(np.concatenate([p.features for p in parts] or [np.zeros((0, FEATURES))]),
+                 np.concatenate([p.size for p in parts] or [np.zeros(0, np.int64)]),
+                 np.concatenate([[0], np.cumsum(counts)]))
+
+
+def _read(texts: list[str]) -> Lines:
     raw = np.frombuffer("\n".join(texts).encode("utf-8") + b"\n", np.uint8)
     ends = np.flatnonzero(raw == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -118,7 +130,9 @@ class QualityModel:
 
     def means(self, texts: list[str]) -> np.ndarray:
         """Length-weighted share of good text in each document; an empty line weighs one."""
-        lines = read_lines(texts)
+        return self.mean_of(read_lines(texts))
+
+    def mean_of(self, lines: Lines) -> np.ndarray:
         weight = np.maximum(lines.size, 1).astype(np.float64)
         heads = lines.bounds[:-1]
         return np.add.reduceat(self.good_lines(lines) * weight, heads) \
@@ -178,7 +192,7 @@ def fit(texts: list[str], labels: list[int], steps: int = 300, rate: float = 0.1
         value = value - rate * (first / (1 - 0.9 ** step)) \
             / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
     model.weights, model.change = value[:FEATURES], value[FEATURES:].reshape(2, 2)
-    model.scale, model.shift = _logistic(_logit(model.means(texts)), label)
+    model.scale, model.shift = _logistic(_logit(model.mean_of(lines)), label)
     return model
 
 
@@ -194,8 +208,8 @@ def _logistic(x: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(a[0]), float(a[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000,
-          passage_chars: int = 20_000) -> QualityModel:
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000,
+          passage_chars: int = 10_000) -> QualityModel:
     """Model from labelled documents whose crc32 remainder modulo 4 is not 2.
 
     The bounds are for fitting alone: about ``sample_docs`` documents, chosen by hash, and
