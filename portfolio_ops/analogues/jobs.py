@@ -21,7 +21,9 @@ from portfolio_ops.sources.landing import land_events
 
 def premium_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     lines = t.lineitem.withColumns({
-        "Reference": F.col("l_suppkey").cast("string"),
+        # one reference in two spellings, and with a trailing blank
+        "Reference": F.concat(F.when(F.col("l_linenumber") == 2, "ab").otherwise("AB"), "l_suppkey",
+                              F.when(F.col("l_linenumber") == 3, " ").otherwise("")),
         "Period2": F.year("l_shipdate") * 100 + F.month("l_shipdate"),
         "_price": money("l_extendedprice"), "_qty": money("l_quantity"), "_tax": money("l_tax"),
         "_disc": F.nullif(money("l_discount"), F.lit(0).cast("decimal(19,4)"))})
@@ -41,14 +43,14 @@ def premium_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _ratio_sql(flag: str, premium: str, cession: str) -> str:
     return f"""
-SELECT ref AS "AgressoReference", round(CAST(c AS DOUBLE) / CAST(p AS DOUBLE), 6) AS "CessionMultiplier"
-FROM (SELECT ref, sum({premium}) AS p, sum({cession}) AS c FROM l
+SELECT spelling AS "AgressoReference", round(CAST(c AS DOUBLE) / CAST(p AS DOUBLE), 6) AS "CessionMultiplier"
+FROM (SELECT min(ref) AS spelling, sum({premium}) AS p, sum({cession}) AS c FROM l
       WHERE l_returnflag='{flag}' AND period=(SELECT max(period) FROM l WHERE l_returnflag='{flag}')
-      GROUP BY ref) WHERE p<>0 AND c<>0"""
+      GROUP BY lower(rtrim(ref, ' '))) WHERE p<>0 AND c<>0"""
 
 
 @query("cession_multiplier", f"""
-WITH l AS (SELECT *, CAST(l_suppkey AS VARCHAR) AS ref, year(l_shipdate)*100+month(l_shipdate) AS period,
+WITH l AS (SELECT *, CASE WHEN l_linenumber=2 THEN 'ab' ELSE 'AB' END || l_suppkey || CASE WHEN l_linenumber=3 THEN ' ' ELSE '' END AS ref, year(l_shipdate)*100+month(l_shipdate) AS period,
  CAST(l_extendedprice AS DECIMAL(19,4)) AS price, CAST(l_quantity AS DECIMAL(19,4)) AS qty,
  CAST(l_tax AS DECIMAL(19,4)) AS tax, nullif(CAST(l_discount AS DECIMAL(19,4)), 0) AS disc FROM lineitem)
 {_ratio_sql("A", "price", "qty+coalesce(disc,0)+tax")} UNION ALL

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from portfolio_ops.analogues.registry import Tables, conform, flat, money, query
 from portfolio_ops.functions import fixed_values as fv
-from portfolio_ops.plans.claim_movement import ClaimInputs, claim_movement_ledger
+from portfolio_ops.plans.claim_movement import (
+    ClaimInputs, claim_movement_ledger, ledger_source, merge_ledger)
 from portfolio_ops.schemas import (
     CLAIM, EXCHANGE_RATE, EXPOSURE, EXPOSURE_EXT, LEDGER, MOVEMENT, MOVEMENT_EXT, OUTSTANDING,
     PAID, PARTS, SIDE_AMOUNTS, TO_DATE, amounts)
@@ -68,8 +69,11 @@ def claim_inputs(t: Tables) -> ClaimInputs:
         order_id, system, F.col("o_custkey").cast("string").alias("claim_source_id"),
         F.col("o_orderdate").alias("exposure_opened_date"), F.lit(0.5).alias("signed"),
         F.when(F.col("o_orderpriority") == "5-LOW", 0).otherwise(1).alias("is_active"))
-    exposure_ext = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
-        order_id, system, F.lit("M1").alias("scm_reference"), F.lit(1).alias("is_active"))
+    # '' is no reference, a blank is one
+    reference = F.when(F.col("o_orderpriority") == "1-URGENT", "M1").when(
+        F.col("o_orderpriority") == "2-HIGH", " ").otherwise("")
+    exposure_ext = t.orders.filter(F.col("o_orderpriority") < "4").select(
+        order_id, system, reference.alias("scm_reference"), F.lit(1).alias("is_active"))
     claim = t.customer.select(
         F.col("c_custkey").cast("string").alias("claim_source_id"), system,
         F.lit(1).alias("is_active"),
@@ -120,7 +124,7 @@ mv AS (
  FROM lines),
 exposures AS (
  SELECT CAST(o_orderkey AS VARCHAR) AS exposure, o_orderdate AS opened,
-  CASE WHEN o_orderpriority='1-URGENT' THEN 'M1' END AS scm_ref
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'M1' WHEN '2-HIGH' THEN ' ' END AS scm_ref
  FROM orders JOIN customer ON c_custkey=o_custkey
  WHERE o_orderpriority<>'5-LOW' AND c_mktsegment<>'MACHINERY'),
 rates AS (
@@ -215,3 +219,38 @@ FROM signed s LEFT JOIN balances b ON b.movement_group_id=s.movement_group_id
 @query("claim_movement_ledger", _SQL)
 def ledger(t: Tables) -> DataFrame:
     return flat(claim_movement_ledger(claim_inputs(t)).select(*LEDGER.fieldNames()))
+
+
+@query("claim_movement_ledger_segmented", _SQL)
+def ledger_segmented(t: Tables) -> DataFrame:
+    """Exposures of more than five movements are cut into segments."""
+    return flat(claim_movement_ledger(claim_inputs(t), group_rows=5).select(*LEDGER.fieldNames()))
+
+
+@query("ledger_merge", f"""
+WITH l AS ({_SQL}), d AS (SELECT *, right(exposure_reference, 1) AS digit FROM l)
+SELECT exposure_reference, sequence_number, movement_reference, settlement_currency,
+ CASE WHEN digit='2' THEN 'old' ELSE settlement_source_currency END AS settlement_source_currency,
+ CASE WHEN digit='3' THEN 'old' ELSE payment_type END AS payment_type,
+ CASE WHEN digit IN ('1','2') THEN 'r2' ELSE 'r1' END AS process_id
+FROM d""")
+def ledger_merge(t: Tables) -> DataFrame:
+    """Today's ledger merged into a stored one. By the last digit of the exposure: 1 is new, 2
+    has changed (the unconverted currency is set on insert only), 3 has changed but no stored
+    hash, 4 also has a stored exposure that has vanished; the others are unchanged."""
+    today = stage(claim_movement_ledger(claim_inputs(t)), "today")
+    digit = F.right("exposure_reference", F.lit(1))
+    old = F.lit("old")
+    before = today.filter(digit != "1").withColumns({
+        "payment_type": F.when(digit.isin("2", "3"), old).otherwise(F.col("payment_type")),
+        "settlement_source_currency": F.when(digit == "2", old).otherwise(F.col("settlement_source_currency"))})
+    gone = today.filter(digit == "4").withColumn(
+        "exposure_reference", F.concat(F.lit("X"), "exposure_reference"))
+
+    def run(name: str) -> DataFrame:
+        return t.spark.createDataFrame([(name,)], "id string")
+    stored = ledger_source(before.unionByName(gone), run("r1")).withColumn(
+        "row_hash_key", F.when(digit != "3", F.col("row_hash_key")))
+    merged = merge_ledger(stored, today, run("r2"))
+    return merged.select("exposure_reference", "sequence_number", "movement_reference", "settlement_currency",
+                         "settlement_source_currency", "payment_type", "process_id")

@@ -17,7 +17,8 @@ from portfolio_ops.operators.filters import delete_where, only_active, required_
 from portfolio_ops.operators.focus import trifocus_code, trifocus_name
 from portfolio_ops.operators.lookups import lookup, map_codes
 from portfolio_ops.operators.migrate import TableMigration, migrate_table
-from portfolio_ops.operators.ordered import Ordered, balance_columns, ordered_groups, reverse_position
+from portfolio_ops.operators.ordered import (
+    GROUP_ROWS, Ordered, balance_columns, ordered_groups, reverse_position)
 from portfolio_ops.operators.ranking import global_dense_rank
 from portfolio_ops.plans.homeowners import derive_transactions
 
@@ -43,20 +44,33 @@ def positions(t: Tables) -> DataFrame:
     return rows.select("o_orderkey", "position", reverse_position("position", "_size").alias("reverse_position"))
 
 
-@query("running_balance", """
+_BALANCE_SQL = """
 WITH l AS (SELECT *, CAST(l_quantity AS DECIMAL(19,4)) AS carried, CAST(l_extendedprice AS DECIMAL(19,4)) AS inflow,
   CASE WHEN l_returnflag='A' THEN CAST(l_tax AS DECIMAL(19,4)) ELSE 0 END AS outflow FROM lineitem),
 f AS (SELECT *, lag(carried, 1, 0) OVER w + inflow - outflow AS flow FROM l
  WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey))
 SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, CAST(sum(flow) OVER (PARTITION BY l_suppkey
- ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance FROM f""")
+ ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance FROM f"""
+
+
+@query("running_balance", _BALANCE_SQL)
 def balance(t: Tables) -> DataFrame:
+    return _running_balance(t, GROUP_ROWS)
+
+
+@query("running_balance_segmented", _BALANCE_SQL)
+def balance_segmented(t: Tables) -> DataFrame:
+    """Suppliers of more than 300 lines are cut into segments."""
+    return _running_balance(t, 300)
+
+
+def _running_balance(t: Tables, group_rows: int) -> DataFrame:
     outflow = F.when(F.col("l_returnflag") == "A", money("l_tax")).otherwise(F.lit(0).cast(x.MONEY))
     rows = t.lineitem.withColumn("_carried", money("l_quantity"))
     flows, running = balance_columns({"balance": ("_carried", money("l_extendedprice") - outflow)})
     order = [F.col(n).asc_nulls_last() for n in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")]
     rows = ordered_groups(rows.withColumns(flows), Ordered(["l_suppkey"], order, running=running),
-                          sized_by=t.lineitem)
+                          group_rows, sized_by=t.lineitem)
     return rows.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey",
                        double(F.col("_run_balance") - F.col("_carried"), "balance"))
 
@@ -272,7 +286,7 @@ SELECT c_custkey, CASE WHEN ccy IN ('EUR','USD','CAD','GBP') THEN ccy ELSE 'USD'
 FROM c LEFT JOIN r ON code=ccy""")
 def currency(t: Tables) -> DataFrame:
     segment = F.col("c_mktsegment")
-    rows = (t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", money("c_acctbal").alias("balance"),
                     F.when(segment == "BUILDING", "EUR").when(segment == "MACHINERY", "GBP")
                     .otherwise(F.concat(F.lit("R"), "n_regionkey")).alias("source_currency"),
@@ -280,7 +294,7 @@ def currency(t: Tables) -> DataFrame:
     rates = latest_per_key(t.nation, ["n_regionkey"], ["n_nationkey"]).select(
         F.concat(F.lit("R"), "n_regionkey").alias("code"),
         (F.lit(1) / (F.col("n_nationkey") + 10).cast(x.RATE)).cast(x.RATIO).alias("ratio"))
-    rows = rows.join(F.broadcast(rates), F.col("source_currency") == F.col("code"), "left")
+    rows = rows.join(rates, F.col("source_currency") == F.col("code"), "left")
     usd = x.settlement_to_usd("source_currency", "group_rate", "ratio")
     rows = rows.withColumns({
         "currency": x.reporting_currency("source_currency"),

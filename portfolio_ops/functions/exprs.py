@@ -41,6 +41,11 @@ def is_true(pred: Column) -> Column:
     return F.coalesce(pred, F.lit(False))
 
 
+def is_empty(col: Column | str) -> Column:
+    """Missing or '' exactly; a blank is a value."""
+    return F.coalesce(c(col), F.lit("")) == ""
+
+
 def is_blank(col: Column | str) -> Column:
     return F.coalesce(F.rtrim(c(col)), F.lit("")) == ""
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def first_per_key(df: DataFrame, keys: Sequence[Column | str],
@@ -25,24 +26,28 @@ def latest_per_key(df: DataFrame, keys: Sequence[Column | str], newest: Sequence
 
 
 def keep_max_key(df: DataFrame, reference: str, key: str,
-                 reference_key: Column | None = None) -> DataFrame:
+                 reference_key: Column | None = None, own_key: Column | None = None) -> DataFrame:
     """Drop rows whose key is below the largest key of their reference.
 
     Rows without a reference or without a key are not comparable and stay. The
     maximum is a grouped aggregate joined back, so the rows of one reference are
-    never gathered in one task.
+    never gathered in one task. ``reference_key`` and ``own_key`` give what is compared
+    where that is not the column itself, such as its folded text.
     """
+    value = own_key if own_key is not None else F.col(key)
     ref = reference_key if reference_key is not None else F.col(reference)
     newest = (df.filter(F.col(key).isNotNull())
-              .groupBy(ref.alias("_ref")).agg(F.max(key).alias("_newest"))
+              .groupBy(ref.alias("_ref")).agg(F.max(value).alias("_newest"))
               .filter(F.col("_ref").isNotNull()))
     joined = df.withColumn("_own", ref).join(newest, F.col("_own") == F.col("_ref"), "left")
     keep = (F.col("_own").isNull() | F.col(key).isNull()
-            | (F.col(key) == F.col("_newest")))
+            | (value == F.col("_newest")))
     return joined.filter(keep).drop("_own", "_ref", "_newest")
 
 
 def distinct_text(df: DataFrame, columns: Sequence[str], fold) -> DataFrame:
-    """DISTINCT under a case-insensitive comparison; smallest spelling is kept."""
-    keyed = df.groupBy(*[fold(name).alias(f"_k_{name}") for name in columns])
+    """DISTINCT that compares text columns by ``fold``; the smallest spelling is kept."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    keyed = df.groupBy(*[(fold(name) if name in text else F.col(name)).alias(f"_k_{name}")
+                         for name in columns])
     return keyed.agg(*[F.min(name).alias(name) for name in columns]).select(*columns)

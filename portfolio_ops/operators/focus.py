@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from portfolio_ops.functions import fixed_values as fv
 from portfolio_ops.functions.exprs import left_part
-from portfolio_ops.operators.lookups import small_side
 
 
 def trifocus_code(details: DataFrame, policy: DataFrame, risk_class: DataFrame,
@@ -23,13 +22,13 @@ def trifocus_code(details: DataFrame, policy: DataFrame, risk_class: DataFrame,
     first_class = (risk_class.filter(F.col("prc_sequence_no") == 1)
                    .select("prc_cpd_policy_ref", "prc_risk_class"))
     rows = (details.join(policy, F.col("cpd_policy_reference") == F.col("pol_cpd_policy_reference"))
-            .join(small_side(class_of_business), F.col("pol_cob_code") == F.col("cob_code"))
+            .join(class_of_business, F.col("pol_cob_code") == F.col("cob_code"))
             .filter(F.col("cob_dept").isNotNull()))
     special = F.col("cob_dept") == dept
     rows = rows.join(first_class, special & (F.col("cpd_policy_reference") == F.col("prc_cpd_policy_ref")),
                      "left").filter(~special | F.col("prc_cpd_policy_ref").isNotNull())
     rows = rows.join(
-        small_side(focus_area),
+        focus_area,
         special & (F.col("foc_cob_code") == F.col("pol_cob_code"))
         & (F.col("foc_risk_class") == F.col("prc_risk_class"))
         & (F.col("foc_mop_code") == F.col("pol_mop_code"))

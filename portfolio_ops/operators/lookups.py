@@ -1,4 +1,5 @@
-"""Joins to small tables, with the size checked before broadcasting."""
+"""Joins to lookup tables. None is hinted: adaptive execution broadcasts a side whose measured
+bytes are under the session's threshold and splits skewed partitions otherwise."""
 
 from __future__ import annotations
 
@@ -7,26 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows.
-
-    The row count of a Parquet table comes from its footers. A larger table is
-    returned unhinted: adaptive execution picks the join and splits skewed partitions.
-    """
-    if df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def lookup(df: DataFrame, table: DataFrame, key: Column, table_key: Column,
-           values: dict[str, Column], max_rows: int = LOOKUP_ROWS) -> DataFrame:
+           values: dict[str, Column]) -> DataFrame:
     """Left join on a computed key; ``values`` maps output names to table columns."""
     side = table.select(table_key.alias("_lk"), *[v.alias(n) for n, v in values.items()])
     return (df.withColumn("_key", key)
-            .join(small_side(side, max_rows), F.col("_key") == F.col("_lk"), "left")
+            .join(side, F.col("_key") == F.col("_lk"), "left")
             .drop("_key", "_lk"))
 
 

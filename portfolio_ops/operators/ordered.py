@@ -63,8 +63,10 @@ def plain(df: DataFrame, spec: Ordered) -> DataFrame:
     return df.withColumns(new)
 
 
-def segmented(df: DataFrame, spec: Ordered) -> DataFrame:
-    cut = (df.repartitionByRange(*[F.col(k) for k in spec.keys], *spec.order)
+def segmented(df: DataFrame, spec: Ordered, segments: int | None = None) -> DataFrame:
+    """``segments`` sets the number of range partitions; left out, the session does."""
+    parts = [segments] if segments else []
+    cut = (df.repartitionByRange(*parts, *[F.col(k) for k in spec.keys], *spec.order)
            .withColumn("_seg", F.spark_partition_id()))
     cut = stage(cut, "segments")  # segment numbers must be the same in every read
 
@@ -130,18 +132,27 @@ def _outputs(spec: Ordered) -> list[str]:
     return names + ([spec.group_size] if spec.group_size else [])
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame | None:
-    """Keys of groups above ``group_rows``, or None when there are none.
+@dataclass(frozen=True)
+class LargeGroups:
+    """Keys of groups too large for one task, and the segments that all of them need."""
+
+    keys: DataFrame
+    segments: int
+
+    def segmented(self, df: DataFrame, spec: Ordered) -> DataFrame:
+        return segmented(df, spec, self.segments)
+
+
+def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> LargeGroups | None:
+    """Groups above ``group_rows``, or None when there are none.
 
-    At most ``rows / group_rows`` keys can qualify. A table that small in total
-    is answered from its row count alone.
+    One grouped count, combined before its shuffle; at most ``rows / group_rows`` keys
+    qualify. Twice the segments that the groups fill, as range bounds are estimates.
     """
-    if df.count() <= group_rows:
-        return None
-    counted = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-               .filter(F.col("_n") > group_rows).drop("_n"))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows)
     found = stage(counted, "large")
-    return None if found.isEmpty() else found
+    segments = found.agg(F.sum(F.ceil(F.col("_n") / group_rows))).first()[0]
+    return LargeGroups(found.drop("_n"), 2 * int(segments)) if segments else None
 
 
 def split_by(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -165,8 +176,8 @@ def windowing(sized_by: DataFrame, keys: Sequence[str],
         return plain
 
     def by_size(df: DataFrame, spec: Ordered) -> DataFrame:
-        small_rows, large_rows = split_by(df, large, keys)
-        return plain(small_rows, spec).unionByName(segmented(large_rows, spec))
+        small_rows, large_rows = split_by(df, large.keys, keys)
+        return plain(small_rows, spec).unionByName(large.segmented(large_rows, spec))
     return by_size
 
 

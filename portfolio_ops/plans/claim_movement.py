@@ -21,19 +21,19 @@ from pyspark.sql import functions as F
 
 from portfolio_ops.functions import fixed_values as fv
 from portfolio_ops.functions.exprs import (
-    MONEY, RATE, RATIO, flag_off, flag_on, is_blank, is_true, negate_where,
+    MONEY, RATE, RATIO, flag_off, flag_on, is_empty, is_true, negate_where,
     reporting_currency, required, settlement_to_usd, zero_to_one)
 from portfolio_ops.functions.hashing import row_hash
 from portfolio_ops.operators.change import merge_snapshot
 from portfolio_ops.operators.dedupe import first_per_key, latest_per_key
-from portfolio_ops.operators.lookups import small_side, with_one_row
+from portfolio_ops.operators.lookups import with_one_row
 from portfolio_ops.operators.ordered import (
-    GROUP_ROWS, Ordered, balance_columns, large_groups, plain, reverse_position, segmented,
-    split_by)
+    GROUP_ROWS, Ordered, balance_columns, large_groups, plain, reverse_position, split_by)
 from portfolio_ops.operators.ranking import global_dense_rank
 from portfolio_ops.schemas import (
     LEDGER, LEDGER_KEYS, LEDGER_TABLE, OUTSTANDING, PAID, PARTS, SIDE_AMOUNTS, TO_DATE, amounts)
 from portfolio_ops.session import stage
+from portfolio_ops.sources.landing import with_lineage
 from portfolio_ops.sources.snapshot import select_for
 
 Windowing = Callable[[DataFrame, Ordered], DataFrame]
@@ -86,7 +86,7 @@ def _with_rate(inputs: ClaimInputs) -> DataFrame:
             .filter((F.col("source_system") == fv.CLAIM_SOURCE) & flag_on("is_active"))
             .drop("is_active").join(ext, keys)
             .filter(migrated | (~migrated & completed)))
-    ratios = small_side(usd_ratios(inputs.exchange_rate))
+    ratios = usd_ratios(inputs.exchange_rate)
     return (rows.join(ratios, F.col("settlement_currency") == F.col("_currency"), "left")
             .withColumn("_usd_rate", settlement_to_usd(
                 "settlement_currency", "original_ccy_to_group_ccy_rate", "_ratio")))
@@ -98,10 +98,20 @@ def movements_without_rate(inputs: ClaimInputs) -> DataFrame:
         *[n for n in inputs.movement.columns if n != "is_active"])
 
 
-def recorded_movements(inputs: ClaimInputs, window: Windowing, quarantine: bool = False) -> DataFrame:
+def exposures_without_rate(inputs: ClaimInputs) -> DataFrame:
+    """Exposures with a movement that cannot be converted."""
+    return movements_without_rate(inputs).select(EXPOSURE).distinct()
+
+
+def without_exposures(inputs: ClaimInputs, held: DataFrame) -> ClaimInputs:
+    """Inputs without these exposures. Their movements go together: positions and balances
+    of an exposure need all of its movements."""
+    return replace(inputs, movement=inputs.movement.join(held, EXPOSURE, "left_anti"),
+                   exposure=inputs.exposure.join(held, EXPOSURE, "left_anti"))
+
+
+def recorded_movements(inputs: ClaimInputs, window: Windowing) -> DataFrame:
     rows = _with_rate(inputs)
-    if quarantine:
-        rows = rows.filter(F.col("_usd_rate").isNotNull())
     rows = rows.join(live_exposures(inputs).select(EXPOSURE, "source_system", "scm_reference"),
                      [EXPOSURE, "source_system"])
     rows = rows.withColumn("_when", F.coalesce("movement_period", "movement_date"))
@@ -136,7 +146,7 @@ def recorded_movements(inputs: ClaimInputs, window: Windowing, quarantine: bool
         ]
     return rows.select(
         F.col(EXPOSURE).alias("exposure_reference"), F.col("_number").alias("sequence_number"),
-        F.when(is_blank("scm_reference"), F.coalesce("movement_type", F.lit("")))
+        F.when(is_empty("scm_reference"), F.coalesce("movement_type", F.lit("")))
         .otherwise(F.col("movement_reference_source_id")).alias("movement_reference"),
         reporting_currency("settlement_currency").alias("settlement_currency"),
         F.col("settlement_currency").alias("settlement_source_currency"),
@@ -178,7 +188,7 @@ def opening_rows(inputs: ClaimInputs) -> DataFrame:
     """One zero row for every exposure outside the market scheme."""
     first = first_movements(inputs.movement).filter(F.col("_any_active"))
     seen = F.col("_any_active").isNotNull()
-    rows = (live_exposures(inputs).filter(is_blank("scm_reference"))
+    rows = (live_exposures(inputs).filter(is_empty("scm_reference"))
             .join(first, EXPOSURE, "left")
             .filter(~seen | F.col("_first_active"))
             .filter(F.col("movement_date").isNull()
@@ -266,8 +276,8 @@ def with_balances(rows: DataFrame, window: Windowing) -> DataFrame:
     return summed.withColumns(balances).drop("_scm", *flows, *running)
 
 
-def ledger_rows(inputs: ClaimInputs, window: Windowing, quarantine: bool = False) -> DataFrame:
-    rows = recorded_movements(inputs, window, quarantine).unionByName(opening_rows(inputs))
+def ledger_rows(inputs: ClaimInputs, window: Windowing) -> DataFrame:
+    rows = recorded_movements(inputs, window).unionByName(opening_rows(inputs))
     return with_balances(with_amount_rules(with_positions(rows, window)), window)
 
 
@@ -275,19 +285,19 @@ def claim_movement_ledger(inputs: ClaimInputs, missing_rate: str = "raise",
                           group_rows: int = GROUP_ROWS) -> DataFrame:
     """The ledger without audit columns.
 
-    ``missing_rate="quarantine"`` leaves out movements without a usable rate, which
-    ``movements_without_rate`` returns; by default such a movement is an error.
+    ``missing_rate="quarantine"`` holds back every exposure that has a movement without a usable
+    rate (``movements_without_rate`` returns those); by default such a movement is an error.
     """
-    quarantine = missing_rate == "quarantine"
+    if missing_rate == "quarantine":
+        inputs = without_exposures(inputs, stage(exposures_without_rate(inputs), "held"))
     large = large_groups(inputs.movement, [EXPOSURE], group_rows)
     if large is None:
-        rows = ledger_rows(inputs, plain, quarantine)
+        rows = ledger_rows(inputs, plain)
     else:
-        few, many = split_by(inputs.movement, large, [EXPOSURE])
-        few_exp, many_exp = split_by(inputs.exposure, large, [EXPOSURE])
-        rows = ledger_rows(replace(inputs, movement=few, exposure=few_exp), plain, quarantine
-                           ).unionByName(ledger_rows(
-                               replace(inputs, movement=many, exposure=many_exp), segmented, quarantine))
+        few, many = split_by(inputs.movement, large.keys, [EXPOSURE])
+        few_exp, many_exp = split_by(inputs.exposure, large.keys, [EXPOSURE])
+        rows = ledger_rows(replace(inputs, movement=few, exposure=few_exp), plain).unionByName(
+            ledger_rows(replace(inputs, movement=many, exposure=many_exp), large.segmented))
     ranked = global_dense_rank(stage(rows, "ledger"), ["exposure_reference", "settlement_currency"],
                                "movement_group_id")
     return select_for(ranked, LEDGER)
@@ -296,11 +306,8 @@ def claim_movement_ledger(inputs: ClaimInputs, missing_rate: str = "raise",
 def ledger_source(ledger: DataFrame, latest_run: DataFrame) -> DataFrame:
     """Ledger rows with hash and audit columns, ready to merge."""
     hashed = ledger.withColumn("row_hash_key", row_hash(ledger, LEDGER.fieldNames()))
-    return with_one_row(hashed, latest_run.select(F.col("id").alias("process_id")), ["process_id"]
-                        ).withColumns({
-                            "created_at_ts": F.current_timestamp(), "created_by": F.current_user(),
-                            "created_from": F.lit(fv.LEDGER_CREATED_FROM),
-                            "source_name": F.lit(fv.LEDGER_SOURCE_NAME)})
+    run = with_one_row(hashed, latest_run.select(F.col("id").alias("process_id")), ["process_id"])
+    return with_lineage(run, F.col("process_id"), fv.LEDGER_SOURCE_NAME, fv.LEDGER_CREATED_FROM)
 
 
 # set on insert only: keys, the unconverted currency, and the created_* columns
@@ -308,8 +315,17 @@ LEDGER_UPDATES = [n for n in LEDGER.fieldNames()
                   if n not in (*LEDGER_KEYS, "settlement_source_currency")] + ["process_id", "source_name"]
 
 
-def merge_ledger(stored: DataFrame, ledger: DataFrame, latest_run: DataFrame) -> DataFrame:
-    """The stored table after the load: changed, new and vanished keys applied."""
+def merge_ledger(stored: DataFrame, ledger: DataFrame, latest_run: DataFrame,
+                 held: DataFrame | None = None) -> DataFrame:
+    """The stored table after the load: changed, new and vanished keys applied.
+
+    Stored rows of ``held`` exposures stay as they are: those were left out of the ledger,
+    they have not vanished.
+    """
     source = ledger_source(ledger, latest_run)
-    return select_for(merge_snapshot(stored, source, LEDGER_KEYS, "row_hash_key", LEDGER_UPDATES),
-                      LEDGER_TABLE)
+    if held is None:
+        return select_for(merge_snapshot(stored, source, LEDGER_KEYS, "row_hash_key", LEDGER_UPDATES),
+                          LEDGER_TABLE)
+    names = held.select(F.col(EXPOSURE).alias("exposure_reference"))
+    merged = merge_ledger(stored.join(names, "exposure_reference", "left_anti"), ledger, latest_run)
+    return merged.unionByName(select_for(stored.join(names, "exposure_reference", "left_semi"), LEDGER_TABLE))

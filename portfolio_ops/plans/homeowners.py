@@ -36,7 +36,8 @@ def rate(name: str) -> Column:
 def clean_feed(feed: DataFrame) -> DataFrame:
     rows = delete_where(feed, F.col("PK_Policy").isNull() & is_blank("PK_Section"))
     rows = delete_where(rows, is_blank("CoverageName") & is_blank("TriFocus"))
-    return keep_max_key(rows, "PolicyReference", "PK_Policy", folded("PolicyReference"))
+    return keep_max_key(rows, "PolicyReference", "PK_Policy", folded("PolicyReference"),
+                        folded("PK_Policy"))
 
 
 def binder_mapping(sections: DataFrame) -> DataFrame:
@@ -49,16 +50,17 @@ def binder_mapping(sections: DataFrame) -> DataFrame:
 def section_groups(feed: DataFrame) -> DataFrame:
     """Latest record and premium total per (policy, section number), in one aggregate."""
     return feed.groupBy(folded("FK_Policy").alias("_f"), F.col("SectionSequenceID").alias("_q")).agg(
-        F.max("PK_Section").alias("_latest"), F.sum(money("WrittenOrEstimatedPremium")).alias("_premium"))
+        F.max(folded("PK_Section")).alias("_latest"), F.sum(money("WrittenOrEstimatedPremium")).alias("_premium"))
 
 
 def build_policy(feed: DataFrame, groups: DataFrame) -> DataFrame:
     latest = groups.filter(F.col("_q") == 1).select("_latest")
     expiring = (feed.groupBy(folded("PK_Policy").alias("_pk"))
-                .agg(F.max("ExpiringPolicyReference").alias("_expiring")))
+                .agg(F.max(F.struct(folded("ExpiringPolicyReference"), "ExpiringPolicyReference"))
+                     ["ExpiringPolicyReference"].alias("_expiring")))
     rows = (feed.filter(F.col("PK_Policy").isNotNull() & (F.col("IsQuote") == 0))
             .filter(F.year(F.col("InceptionDate").cast("timestamp_ntz")) >= fv.FIRST_UNDERWRITING_YEAR)
-            .join(latest, folded("PK_Section") == folded("_latest"))
+            .join(latest, folded("PK_Section") == F.col("_latest"))
             .join(expiring, folded("PK_Policy") == F.col("_pk")))
     return rows.select(
         "PK_Policy", "PolicyReference", "IsQuote",
@@ -86,7 +88,7 @@ def build_sections(feed: DataFrame, groups: DataFrame, policy: DataFrame) -> Dat
             .join(owner, policy_key == F.col("_p"))
             .join(limits, (policy_key == F.col("_pl")) & (F.col("SectionSequenceID") == 1), "left")
             .join(totals, (policy_key == F.col("_f")) & (F.col("SectionSequenceID") == F.col("_q")))
-            .join(groups.select("_latest"), folded("PK_Section") == folded("_latest")))
+            .join(groups.select("_latest"), folded("PK_Section") == F.col("_latest")))
     own = ["CoverageName", "InceptionDate", "ExpiryDate"]
     return rows.select(
         "PK_Section", F.col("_reference").alias("PolicyReference"),

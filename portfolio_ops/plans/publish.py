@@ -10,7 +10,9 @@ from portfolio_ops.operators.contract import Contract
 from portfolio_ops.plans import vault_model
 from portfolio_ops.plans.cession import cession_multiplier
 from portfolio_ops.plans.claim_binder import claim_binder_pairs
-from portfolio_ops.plans.claim_movement import ClaimInputs, claim_movement_ledger, merge_ledger
+from portfolio_ops.plans.claim_movement import (
+    ClaimInputs, claim_movement_ledger, exposures_without_rate, merge_ledger, movements_without_rate,
+    without_exposures)
 from portfolio_ops.plans.homeowners import homeowners_load
 from portfolio_ops.plans.key_industry import key_industry
 from portfolio_ops.plans.mapping_override import land_mapping_override
@@ -18,6 +20,7 @@ from portfolio_ops.plans.policy_delta import PolicyInputs, policy_delta
 from portfolio_ops.plans.vault_load import load_table
 from portfolio_ops.plans.vault_model import HUBS, LINKS, SATELLITES, Satellite
 from portfolio_ops.schemas import LEDGER, LEDGER_KEYS
+from portfolio_ops.session import stage
 from portfolio_ops.sources.snapshot import LoadResult, SnapshotTable, publish_together
 
 LEDGER_CONTRACT = Contract(
@@ -26,9 +29,17 @@ LEDGER_CONTRACT = Contract(
 
 
 def publish_ledger(target: SnapshotTable, inputs: ClaimInputs, latest_run: DataFrame,
-                   missing_rate: str = "raise") -> LoadResult:
-    ledger = claim_movement_ledger(inputs, missing_rate)
-    return target.publish(merge_ledger(target.read(), ledger, latest_run), contract=LEDGER_CONTRACT)
+                   quarantine: SnapshotTable | None = None) -> LoadResult:
+    """A movement without a usable rate fails the load. With a ``quarantine`` table it is
+    written there instead, its exposure keeps its stored rows, and the rest is loaded."""
+    if quarantine is None:
+        ledger = claim_movement_ledger(inputs)
+        return target.publish(merge_ledger(target.read(), ledger, latest_run), contract=LEDGER_CONTRACT)
+    held = stage(exposures_without_rate(inputs), "held")
+    ledger = claim_movement_ledger(without_exposures(inputs, held))
+    merged = merge_ledger(target.read(), ledger, latest_run, held)
+    return publish_together([(target, merged, LEDGER_CONTRACT),
+                             (quarantine, movements_without_rate(inputs))])[0]
 
 
 def publish_policy_delta(target: SnapshotTable, inputs: PolicyInputs, stored: DataFrame) -> LoadResult:

@@ -36,12 +36,11 @@ def with_lineage(df: DataFrame, process_id: Column | object, source: str | None
                  created_from: str | None = None) -> DataFrame:
     """Audit columns of an insert."""
     pid = process_id if isinstance(process_id, Column) else F.lit(process_id)
-    new = {"CREATED_AT_TS": F.current_timestamp(), "CREATED_BY": F.current_user(),
-           "PROCESS_ID": pid}
+    new = {"created_at_ts": F.current_timestamp(), "created_by": F.current_user(), "process_id": pid}
     if source is not None:
-        new["SOURCE_NAME"] = F.lit(source)
+        new["source_name"] = F.lit(source)
     if created_from is not None:
-        new["CREATED_FROM"] = F.lit(created_from)
+        new["created_from"] = F.lit(created_from)
     return df.withColumns(new)
 
 

@@ -69,6 +69,9 @@ class SnapshotTable:
         paths = [f"{self.base}/{folder}" for folder in log[0]["folders"]]
         return self._spark.read.schema(self.schema).parquet(*paths)
 
+    def folder(self, name: str) -> DataFrame:
+        return self._spark.read.schema(self.schema).parquet(f"{self.base}/{name}")
+
     def publish(self, df: DataFrame, mode: str = "replace", contract: Contract | None = None,
                 parents: Mapping[str, DataFrame] | None = None,
                 batch: str | None = None) -> LoadResult:
@@ -121,7 +124,11 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def publish_together(loads: Sequence[tuple[SnapshotTable, DataFrame]]) -> list[LoadResult]:
-    """Refresh several tables of one job: all are written before the first is switched."""
-    prepared = [(table, *table.write(df)) for table, df in loads]
+def publish_together(loads: Sequence[tuple]) -> list[LoadResult]:
+    """Refresh several tables of one job: all are written and checked before the first is
+    switched. A load is (table, rows) or (table, rows, contract)."""
+    prepared = [(table, *table.write(df)) for table, df, *_ in loads]
+    for (table, _, *contract), (_, folder, _) in zip(loads, prepared):
+        for rules in contract:
+            enforce(table.folder(folder), rules)
     return [table.switch([folder], rows, "replace") for table, folder, rows in prepared]

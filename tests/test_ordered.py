@@ -58,7 +58,11 @@ def test_groups_really_are_cut(spark, rows):
 
 def test_large_groups_take_the_segmented_way(rows):
     large = large_groups(rows, ["k"], 500)
-    assert [r["k"] for r in large.collect()] == ["hot"]
+    assert [r["k"] for r in large.keys.collect()] == ["hot"]
+    hot = rows.filter("k = 'hot'")
+    assert large.segments >= 2 * -(-hot.count() // 500)
+    ranges = hot.repartitionByRange(large.segments, "k", "id").withColumn("p", F.spark_partition_id())
+    assert ranges.groupBy("p").count().agg(F.max("count")).first()[0] <= 500
     assert large_groups(rows, ["k"], 5000) is None
     one = Ordered(["k"], [F.col("id").asc()], position="pos")
     got = ordered_groups(rows, one, group_rows=500)

@@ -1,5 +1,6 @@
 """Jobs run against their target tables."""
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
@@ -10,7 +11,7 @@ from portfolio_ops.plans import publish, vault_model as vm
 from portfolio_ops.plans.homeowners import homeowners_load
 from portfolio_ops.sources.snapshot import SnapshotTable, nullable
 
-from test_claim_movement import inputs  # noqa: F401  (fixture)
+from test_claim_movement import inputs, movement  # noqa: F401  (inputs is a fixture)
 from test_homeowners import BINDERS, FEED
 
 
@@ -59,3 +60,29 @@ def test_vault_contract_stops_an_orphan(spark, make, tmp_path):
     with pytest.raises(ContractViolation, match="HUB_POLICY_FK: 1"):
         publish.publish_vault(targets, {sat: row("0" * 32)})
     assert targets[sat].version() == 1
+
+
+def test_quarantine_keeps_the_stored_rows(spark, make, tmp_path, inputs):  # noqa: F811
+    """An exposure without a rate is held back whole; its stored rows stay, the others load."""
+    table = SnapshotTable(spark, str(tmp_path / "ledger"), nullable(s.LEDGER_TABLE))
+    aside = SnapshotTable(spark, str(tmp_path / "aside"), nullable(inputs.movement.drop("is_active").schema))
+    publish.publish_ledger(table, inputs, make(s.LATEST_RUN, [{"id": "r1"}]))
+    before = table.read().drop("created_at_ts")
+    bad = movement("E1", 99, "Reserve", dt.datetime(2024, 1, 1), ccy="XXX", original_ccy_to_group_ccy_rate=D(2))
+    names, ext = s.MOVEMENT.fieldNames(), s.MOVEMENT_EXT.fieldNames()
+    with_bad = replace(
+        inputs, movement=inputs.movement.union(make(s.MOVEMENT, [{k: v for k, v in bad.items() if k in names}])),
+        movement_ext=inputs.movement_ext.union(
+            make(s.MOVEMENT_EXT, [dict({k: v for k, v in bad.items() if k in ext}, is_active=1)])))
+    with pytest.raises(Exception, match="exchange rate of the settlement currency"):
+        publish.publish_ledger(table, with_bad, make(s.LATEST_RUN, [{"id": "r2"}]))
+    publish.publish_ledger(table, with_bad, make(s.LATEST_RUN, [{"id": "r2"}]), quarantine=aside)
+    held = "exposure_reference = 'E1'"
+    after = table.read().drop("created_at_ts")
+    assert before.filter(held).count() > 0
+    same = [c for c in before.columns if c != "movement_group_id"]
+    assert sorted(map(repr, after.select(same).filter(held).collect())) \
+        == sorted(map(repr, before.select(same).filter(held).collect()))
+    plain = [c for c in same if c not in ("process_id", "row_hash_key", "created_by", "created_from", "source_name")]
+    assert sorted(map(repr, after.select(plain).collect())) == sorted(map(repr, before.select(plain).collect()))
+    assert [r["settlement_currency"] for r in aside.read().collect()] == ["XXX"]

@@ -93,7 +93,7 @@ def test_landing_columns(spark):
     filled = with_defaults(df, {"c": "dflt", "d": 7})
     assert rows(filled) == [("a", "dflt", 7), ("b", "x", 7)]
     lined = with_lineage(df, "p1", "src", "STG")
-    assert {"CREATED_AT_TS", "CREATED_BY", "PROCESS_ID", "SOURCE_NAME", "CREATED_FROM"} <= set(lined.columns)
+    assert {"created_at_ts", "created_by", "process_id", "source_name", "created_from"} <= set(lined.columns)
     assert with_surrogate(df, "id").select("id").distinct().count() == 2
     topic = spark.createDataFrame([(b"{}", dt.datetime(2024, 1, 1), 5, 1)], "value binary, timestamp timestamp, offset long, partition int")
     assert land_events(topic).columns == ["RECORD_CONTENT", "RECORD_KAFKA_NPTS", "RECORD_KAFKA_OFFSET", "RECORD_KAFKA_PARTITION"]
