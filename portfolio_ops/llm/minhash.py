@@ -25,7 +25,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 DAMPING = 0.25
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def odd_numbers(count: int, seed: int) -> np.ndarray:

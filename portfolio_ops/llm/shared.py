@@ -16,7 +16,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_RANGES = 1 << 16
 
 
 def n_batches(docs: DataFrame, batch_bytes: int) -> int:
@@ -49,7 +48,7 @@ def sorted_batch(table: pa.Table) -> tuple[np.ndarray, list[str]]:
     return table["order"].to_numpy().astype(np.int64), table["text"].to_pylist()
 
 
-def text_runs(texts: list[str], limit: int = 1 << 20) -> Iterable[tuple[int, int]]:
+def text_runs(texts: list[str], limit: int = 1 << 19) -> Iterable[tuple[int, int]]:
     """Ranges of texts of about ``limit`` characters; a text is never cut."""
     start, held = 0, 0
     for k, text in enumerate(texts):
@@ -158,4 +157,6 @@ def apply_answers(keys: np.ndarray, answers: pa.Table, count: int) -> np.ndarray
 
 
 def range_count(batches: int) -> int:
-    return min(MAX_RANGES, max(1, batches))
+    """Key ranges: two for each batch up to 4,096, so that a run stays worth a row; beyond
+    262,144 batches one for each 64 batches, at most 65,536."""
+    return min(1 << 16, max(min(2 * batches, 1 << 12), batches // 64))

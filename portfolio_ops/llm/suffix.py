@@ -23,7 +23,9 @@ from portfolio_ops.llm.text import changes, id_and_text, span_hashes
 
 LENGTH = 50
 GRAM = 26
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+PARTS = 256             # of a key range
+SORTED_BYTES = 1 << 20  # contexts sorted together, unless one part has more
 SEPARATOR = 0xFF  # no byte of UTF-8
 
 
@@ -279,43 +281,93 @@ def gather(raw: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return raw[np.arange(total) + np.repeat(begin - (ends - sizes), sizes)]
 
 
-SENT = "batch int, range int, first int, docs binary, several binary, sizes binary, bytes binary"
+SENT = ("batch int, range int, first int, parts binary, docs binary, several binary, "
+        "sizes binary, bytes binary")
 FOUND = "batch int, contexts binary, starts binary, lengths binary, lows binary"
 
 
 def contexts_to_send(batch: int, own: Owners, found: Contexts, count: int) -> pa.Table:
-    bounds = np.searchsorted(shared.ranges(own.key[found.run], count), np.arange(count + 1))
+    part = shared.ranges(own.key[found.run], count * PARTS)
+    bounds = np.searchsorted(part, np.arange(count + 1) * PARTS)
     rows = []
     for r in np.flatnonzero(np.diff(bounds)).tolist():
         a, b = bounds[r], bounds[r + 1]
         low, high = own.low[found.run[a:b]], own.high[found.run[a:b]]
         sizes = high - low + LENGTH
-        rows.append((r, a, found.low[a:b].astype("<i8").tobytes(),
+        rows.append((r, a, (part[a:b] % PARTS).astype(np.uint8).tobytes(),
+                     found.low[a:b].astype("<i8").tobytes(),
                      np.packbits(found.several[a:b]).tobytes(), sizes.astype("<u2").tobytes(),
                      gather(own.raw, low, sizes).tobytes()))
-    columns = list(zip(*rows)) if rows else [[]] * 6
+    columns = list(zip(*rows)) if rows else [[]] * 7
     return pa.table({"batch": pa.array([batch] * len(rows), pa.int32()),
                      "range": pa.array(columns[0], pa.int32()),
                      "first": pa.array(columns[1], pa.int32()),
                      **{n: pa.array(c, pa.binary()) for n, c in
-                        zip(("docs", "several", "sizes", "bytes"), columns[2:])}})
+                        zip(("parts", "docs", "several", "sizes", "bytes"), columns[2:])}})
 
 
 def resolve_range(table: pa.Table) -> pa.Table:
-    """Suffix-sort the distinct contexts of one key range; answer each batch with the windows
-    that a smaller document has."""
-    sizes = [np.frombuffer(x.as_py(), "<u2").astype(np.int64) for x in table["sizes"]]
+    """Suffix-sort the distinct contexts of one key range, a few parts of it at a time; answer
+    each batch with the windows that a smaller document has."""
+    part = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table["parts"]])
+    counts = np.array([len(x.as_py()) for x in table["parts"]])
     docs = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table["docs"]])
-    several = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(s))
-                              for x, s in zip(table["several"], sizes)]).astype(bool)
+    several = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=n)
+                              for x, n in zip(table["several"], counts)]).astype(bool)
     raw = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table["bytes"]])
-    counts = np.array([len(s) for s in sizes])
-    size = np.concatenate(sizes)
+    size = np.concatenate([np.frombuffer(x.as_py(), "<u2") for x in table["sizes"]]).astype(np.int64)
     begin = np.cumsum(size) - size
-    _, first, number = np.unique(span_hashes(raw, begin, begin + size),
-                                 return_index=True, return_inverse=True)
-    owner = np.full(len(first), shared.NULL_ID)
-    np.minimum.at(owner, number, docs)
+    content = span_hashes_by_run(raw, begin, size)
+    local = np.arange(len(size)) - np.repeat(np.cumsum(counts) - counts, counts) \
+        + np.repeat(table["first"].to_numpy(), counts)
+    batch = np.repeat(table["batch"].to_numpy(), counts)
+
+    order = np.lexsort((content, part))
+    fresh = changes(part[order], content[order])
+    held = np.cumsum(np.where(fresh, size[order], 0))
+    heads = np.flatnonzero(changes(part[order]))
+    found: list[tuple] = []
+    start = 0
+    for stop in [*heads[1:].tolist(), len(order)]:
+        following = heads[np.searchsorted(heads, stop, side="right")] \
+            if stop < heads[-1] else len(order)
+        if stop < len(order) and held[following - 1] - (held[start - 1] if start else 0) <= SORTED_BYTES:
+            continue
+        found.append(_resolve(order[start:stop], fresh[start:stop], raw, begin, size, docs, several))
+        start = stop
+    entry, run_start, length, low = (np.concatenate(c) for c in zip(*found))
+    own = batch[entry]
+    arranged = np.argsort(own, kind="stable")
+    rows = []
+    names = ((local[entry], "<u4"), (run_start, "<u2"), (length, "<u2"), (low, "<i8"))
+    for some in np.split(arranged, np.flatnonzero(changes(own[arranged]))[1:]):
+        if len(some):
+            rows.append((own[some[0]], *(v[some].astype(t).tobytes() for v, t in names)))
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    return pa.table({"batch": pa.array(columns[0], pa.int32()),
+                     **{n: pa.array(c, pa.binary()) for n, c in
+                        zip(("contexts", "starts", "lengths", "lows"), columns[1:])}})
+
+
+def span_hashes_by_run(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of adjoining spans, about a megabyte at a time."""
+    out = np.empty(len(begin), np.uint64)
+    start = 0
+    while start < len(begin):
+        stop = max(start + 1, int(np.searchsorted(begin, begin[start] + (1 << 20))))
+        base, end = begin[start], begin[stop - 1] + size[stop - 1]
+        at = begin[start:stop] - base
+        out[start:stop] = span_hashes(raw[base:end], at, at + size[start:stop])
+        start = stop
+    return out
+
+
+def _resolve(entries, fresh, raw, begin, size, docs, several):
+    """For entries sorted so that equal contexts adjoin (``fresh`` marks the first): entry,
+    start, length and smallest document of the runs of windows that an entry may lose."""
+    number = np.cumsum(fresh) - 1
+    first = entries[fresh]
+    owner = np.minimum.reduceat(docs[entries], np.flatnonzero(fresh))
     whole = size[first] + 1
     starts = np.cumsum(whole) - whole
     text = np.full(int(whole.sum()), SEPARATOR, np.uint8)
@@ -328,31 +380,17 @@ def resolve_range(table: pa.Table) -> pa.Table:
     context = np.searchsorted(starts, place, side="right") - 1
     heads = np.flatnonzero(changes(context, low))
     lengths = np.diff(np.append(heads, len(place)))
-    run_context, run_start, run_low = context[heads], place[heads] - starts[context[heads]], low[heads]
-    bounds = np.searchsorted(run_context, np.arange(len(first) + 1))
-
-    # to each context sent: its runs, but for those that it alone has or has first
-    n_runs = np.diff(bounds)[number]
-    entry = np.repeat(np.arange(len(number)), n_runs)
-    run = np.arange(len(entry)) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs) \
-        + np.repeat(bounds[number], n_runs)
-    useful = several[entry] | (run_low[run] < docs[entry])
+    context, low = context[heads], low[heads]
+    run_start = place[heads] - starts[context]
+    bounds = np.searchsorted(context, np.arange(len(first) + 1))
+
+    # to each entry the runs of its context, but for those that no smaller document has
+    n = np.diff(bounds)[number]
+    entry = np.repeat(entries, n)
+    run = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bounds[number], n)
+    useful = several[entry] | (low[run] < docs[entry])
     entry, run = entry[useful], run[useful]
-    batch_of = np.repeat(np.arange(len(counts)), counts)
-    local = np.arange(len(number)) - np.repeat(np.cumsum(counts) - counts, counts) \
-        + np.repeat(table["first"].to_numpy(), counts)
-    cuts = np.searchsorted(batch_of[entry], np.arange(len(counts) + 1))
-    rows = []
-    for k, batch in enumerate(table["batch"].to_pylist()):
-        part = slice(cuts[k], cuts[k + 1])
-        if cuts[k] < cuts[k + 1]:
-            rows.append((batch, *(v.astype(t).tobytes() for v, t in (
-                (local[entry[part]], "<u4"), (run_start[run[part]], "<u2"),
-                (lengths[run[part]], "<u2"), (run_low[run[part]], "<i8")))))
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    return pa.table({"batch": pa.array(columns[0], pa.int32()),
-                     **{n: pa.array(c, pa.binary()) for n, c in
-                        zip(("contexts", "starts", "lengths", "lows"), columns[1:])}})
+    return entry, run_start[run], lengths[run], low[run]
 
 
 def removed_bytes(own: Owners, found: Contexts, answers: pa.Table) -> np.ndarray:
