@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +18,33 @@ from portfolio_ops.operators.filters import delete_where
 from portfolio_ops.session import stage
 
 
-@dataclass(frozen=True)
 class HomeownersTables:
-    policy: DataFrame
-    section: DataFrame
-    transaction: DataFrame
+    """The three outputs, each made when it is asked for. What several of them read is staged
+    once: the cleaned feed, the section groups, the policies and the sections."""
+
+    def __init__(self, feed: DataFrame, section_source: DataFrame):
+        self._feed, self._section_source = feed, section_source
+
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        return stage(clean_feed(self._feed), "feed")
+
+    @cached_property
+    def groups(self) -> DataFrame:
+        return stage(section_groups(self.cleaned), "groups")
+
+    @cached_property
+    def policy(self) -> DataFrame:
+        return stage(build_policy(self.cleaned, self.groups), "policy")
+
+    @cached_property
+    def section(self) -> DataFrame:
+        sections = stage(build_sections(self.cleaned, self.groups, self.policy), "sections")
+        return finish_sections(sections, binder_mapping(self._section_source))
+
+    @cached_property
+    def transaction(self) -> DataFrame:
+        return derive_transactions(self.section)
 
 
 def money(name: str) -> Column:
@@ -75,20 +97,29 @@ def build_policy(feed: DataFrame, groups: DataFrame) -> DataFrame:
         "YearOfAccount", "BrokerBeazleyTradeId")
 
 
+def policies_by_key(policy: DataFrame) -> DataFrame:
+    """One row per policy key with its policies, mostly one."""
+    return policy.groupBy(folded("PK_Policy").alias("_p")).agg(F.collect_list(F.struct(
+        F.col("PolicyReference").alias("_reference"), F.col("ExpiringPolicyReference").alias("_expiring"),
+        F.col("YearOfAccount").alias("_year"), F.col("PolicyLimit").alias("_limit"),
+        F.col("LimitCurrency").alias("_limit_currency"), F.col("PolicyDeductible").alias("_deductible")
+    )).alias("_policies"))
+
+
 def build_sections(feed: DataFrame, groups: DataFrame, policy: DataFrame) -> DataFrame:
-    owner = policy.filter(F.col("IsQuote") == 0).select(
-        folded("PK_Policy").alias("_p"), F.col("PolicyReference").alias("_reference"),
-        F.col("ExpiringPolicyReference").alias("_expiring"), F.col("YearOfAccount").alias("_year"))
-    limits = policy.select(folded("PK_Policy").alias("_pl"), F.col("PolicyLimit").alias("_limit"),
-                           F.col("LimitCurrency").alias("_limit_currency"),
-                           F.col("PolicyDeductible").alias("_deductible"))
-    totals = groups.select("_f", "_q", "_premium")
+    """A section meets every policy of its key, the first section also every limit of them."""
     policy_key = folded("FK_Policy")
+    first = F.col("SectionSequenceID") == 1
     rows = (feed
-            .join(owner, policy_key == F.col("_p"))
-            .join(limits, (policy_key == F.col("_pl")) & (F.col("SectionSequenceID") == 1), "left")
-            .join(totals, (policy_key == F.col("_f")) & (F.col("SectionSequenceID") == F.col("_q")))
-            .join(groups.select("_latest"), folded("PK_Section") == F.col("_latest")))
+            .join(policies_by_key(policy), policy_key == F.col("_p"))
+            .join(groups.select("_f", "_q", "_premium"),
+                  (policy_key == F.col("_f")) & (F.col("SectionSequenceID") == F.col("_q")))
+            .join(groups.select("_latest"), folded("PK_Section") == F.col("_latest"))
+            .withColumn("_limits", F.when(first, F.col("_policies")))
+            .withColumn("_owner", F.explode("_policies"))
+            .withColumn("_limited", F.explode_outer("_limits"))
+            .withColumns({n: F.col(f"_owner.{n}") for n in ("_reference", "_expiring", "_year")})
+            .withColumns({n: F.col(f"_limited.{n}") for n in ("_limit", "_limit_currency", "_deductible")}))
     own = ["CoverageName", "InceptionDate", "ExpiryDate"]
     return rows.select(
         "PK_Section", F.col("_reference").alias("PolicyReference"),
@@ -170,10 +201,4 @@ def finish_sections(sections: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def homeowners_load(feed: DataFrame, section_source: DataFrame) -> HomeownersTables:
-    """The cleaned feed and the sections are read several times and staged once each."""
-    cleaned = stage(clean_feed(feed), "feed")
-    groups = section_groups(cleaned)
-    policy = build_policy(cleaned, groups)
-    sections = stage(build_sections(cleaned, groups, policy), "sections")
-    finished = finish_sections(sections, binder_mapping(section_source))
-    return HomeownersTables(policy, finished, derive_transactions(finished))
+    return HomeownersTables(feed, section_source)
