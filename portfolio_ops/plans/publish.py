@@ -21,7 +21,7 @@ from portfolio_ops.plans.vault_load import load_table
 from portfolio_ops.plans.vault_model import HUBS, LINKS, SATELLITES, Satellite
 from portfolio_ops.schemas import LEDGER, LEDGER_KEYS
 from portfolio_ops.session import stage
-from portfolio_ops.sources.snapshot import LoadResult, SnapshotTable, publish_together
+from portfolio_ops.sources.snapshot import Load, LoadResult, SnapshotTable, publish_together
 
 LEDGER_CONTRACT = Contract(
     not_null=tuple(f.name for f in LEDGER.fields if not f.nullable),
@@ -38,8 +38,8 @@ def publish_ledger(target: SnapshotTable, inputs: ClaimInputs, latest_run: DataF
     held = stage(exposures_without_rate(inputs), "held")
     ledger = claim_movement_ledger(without_exposures(inputs, held))
     merged = merge_ledger(target.read(), ledger, latest_run, held)
-    return publish_together([(target, merged, LEDGER_CONTRACT),
-                             (quarantine, movements_without_rate(inputs))])[0]
+    return publish_together([Load(target, merged, LEDGER_CONTRACT),
+                             Load(quarantine, movements_without_rate(inputs))])[0]
 
 
 def publish_policy_delta(target: SnapshotTable, inputs: PolicyInputs, stored: DataFrame) -> LoadResult:
@@ -48,10 +48,10 @@ def publish_policy_delta(target: SnapshotTable, inputs: PolicyInputs, stored: Da
 
 def publish_homeowners(targets: Mapping[str, SnapshotTable], feed: DataFrame,
                        section_source: DataFrame) -> list[LoadResult]:
-    """Targets by name: policy, section, transaction."""
+    """Targets by name: policy, section, transaction; with one log they switch at once."""
     made = homeowners_load(feed, section_source)
-    return publish_together([(targets["policy"], made.policy), (targets["section"], made.section),
-                             (targets["transaction"], made.transaction)])
+    return publish_together([Load(targets[n], getattr(made, n))
+                             for n in ("policy", "section", "transaction")])
 
 
 def publish_cession(target: SnapshotTable, premium: DataFrame, marine: DataFrame,
@@ -73,16 +73,22 @@ def publish_overrides(target: SnapshotTable, records: DataFrame) -> LoadResult:
 
 def publish_vault(targets: Mapping[str, SnapshotTable],
                   sources: Mapping[str, DataFrame]) -> list[LoadResult]:
-    """Hubs and links grow by appends, satellites are replaced; each is checked against
-    its contract, with the tables published before it as parents."""
-    results = []
+    """Hubs and links grow by appends, satellites are replaced; each is checked against its
+    contract, with stored and new rows of its parents. All tables are written and checked
+    before the first is switched; with one log they switch at once."""
+    loads: dict[str, Load] = {}
+
+    def with_new(name: str) -> DataFrame:
+        stored = targets[name].read()
+        return stored.unionByName(loads[name].rows.select(stored.columns)) if name in loads else stored
+
     for table in (*HUBS, *LINKS, *SATELLITES):
         if table.name not in sources:
             continue
         target = targets[table.name]
         rows = load_table(table.name, target.read(), sources[table.name])
         contract = vault_model.contract(table.name)
-        parents = {fk.table: targets[fk.table].read() for fk in contract.foreign.values()}
+        parents = {fk.table: with_new(fk.table) for fk in contract.foreign.values()}
         mode = "replace" if isinstance(table, Satellite) else "append"
-        results.append(target.publish(rows, mode=mode, contract=contract, parents=parents))
-    return results
+        loads[table.name] = Load(target, rows, contract, parents, mode)
+    return publish_together(list(loads.values()))

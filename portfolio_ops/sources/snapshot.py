@@ -1,11 +1,16 @@
 """Append, full refresh and all-or-nothing publishing over Parquet folders.
 
-A table is a folder with data folders and a small log. A publish writes its rows to
-a new data folder, checks them, and only then appends one log row naming the folders
-that make up the new version. Readers resolve the newest log row once. A failure at
-any point before the log row leaves the previous version in place, and no path is
-ever overwritten while it is read. One writer per table is assumed, as for the
-scheduled jobs that load it.
+A table is a folder with data folders and a log. A publish writes its rows to a new data
+folder, checks them, and only then appends a log row that names the folders it adds (append)
+or starts anew with (replace, compact). Readers take the rows from the newest start on. A
+failure at any point before the log row leaves the previous version in place, and no path is
+ever overwritten while it is read. One writer per table is assumed, as for the scheduled jobs
+that load it.
+
+Tables that are published together share a log: the rows of all of them are one committed
+file, so either every table switches or none does. After ``COMPACT_FOLDERS`` appends a publish
+rewrites the version as one folder, which bounds the log rows and folders that a reader takes.
+``vacuum`` deletes folders that no kept version names.
 """
 
 from __future__ import annotations
@@ -19,15 +24,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from portfolio_ops.operators.contract import Contract, enforce
+from portfolio_ops.operators.contract import Contract, ContractViolation, enforce
+from portfolio_ops.session import remove
+
+COMPACT_FOLDERS = 64
 
 LOG_SCHEMA = T.StructType([
+    T.StructField("table", T.StringType()),
     T.StructField("version", T.LongType()),
     T.StructField("folders", T.ArrayType(T.StringType())),
     T.StructField("rows_written", T.LongType()),
     T.StructField("mode", T.StringType()),
     T.StructField("batch", T.StringType()),
 ])
+STARTS = ("replace", "compact")
 
 
 @dataclass(frozen=True)
@@ -38,61 +48,68 @@ class LoadResult:
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, base: str, schema: T.StructType):
+    """``log`` is the folder of a log shared with other tables; left out, the table has its own."""
+
+    def __init__(self, spark: SparkSession, base: str, schema: T.StructType, log: str | None = None):
         self._spark = spark
         self.base = base.rstrip("/")
+        self.log = (log or f"{self.base}/log").rstrip("/")
         self.schema = schema
 
-    def _log(self) -> list:
+    def history(self) -> DataFrame | None:
+        """Log rows of this table, or None before the first publish."""
         try:
-            return (self._spark.read.schema(LOG_SCHEMA).json(f"{self.base}/log")
-                    .orderBy(F.col("version").desc()).take(1))
+            log = self._spark.read.schema(LOG_SCHEMA).json(self.log)
         except AnalysisException as error:  # no version published yet
             if error.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return None
             raise
+        return log.filter(F.col("table") == self.base)
+
+    def _current(self, kept: int = 1) -> list:
+        """Log rows from the ``kept``-newest start on, oldest first; few, as publishes compact."""
+        log = self.history()
+        if log is None:
+            return []
+        starts = [r["version"] for r in log.filter(F.col("mode").isin(*STARTS)).select("version")
+                  .orderBy(F.col("version").desc()).take(kept)]
+        first = starts[-1] if len(starts) == kept else 0
+        return log.filter(F.col("version") >= first).orderBy("version").collect()
+
+    def _folders(self) -> tuple[int, list[str]]:
+        rows = self._current()
+        return (rows[-1]["version"] if rows else 0), [f for r in rows for f in r["folders"]]
 
     def version(self) -> int:
-        log = self._log()
-        return log[0]["version"] if log else 0
+        return self._folders()[0]
 
     def has_batch(self, batch: str) -> bool:
-        if not self._log():
-            return False
-        log = self._spark.read.schema(LOG_SCHEMA).json(f"{self.base}/log")
-        return not log.filter(F.col("batch") == batch).isEmpty()
+        log = self.history()
+        return log is not None and not log.filter(F.col("batch") == batch).isEmpty()
 
     def read(self) -> DataFrame:
-        log = self._log()
-        if not log or not log[0]["folders"]:
-            return self._spark.createDataFrame([], self.schema)
-        paths = [f"{self.base}/{folder}" for folder in log[0]["folders"]]
-        return self._spark.read.schema(self.schema).parquet(*paths)
+        return self.folder(*self._folders()[1])
 
-    def folder(self, name: str) -> DataFrame:
-        return self._spark.read.schema(self.schema).parquet(f"{self.base}/{name}")
+    def folder(self, *names: str) -> DataFrame:
+        if not names:
+            return self._spark.createDataFrame([], self.schema)
+        return self._spark.read.schema(self.schema).parquet(*[f"{self.base}/{n}" for n in names])
 
     def publish(self, df: DataFrame, mode: str = "replace", contract: Contract | None = None,
                 parents: Mapping[str, DataFrame] | None = None,
-                batch: str | None = None) -> LoadResult:
+                batch: str | None = None, check: str = "added") -> LoadResult:
         """Write, check and switch. ``mode`` is ``replace`` or ``append``.
 
-        An append adds a folder and rewrites nothing. The contract is checked on the
-        written files, for an append on the whole new version.
+        An append adds a folder and rewrites nothing. Its contract is checked on the written
+        rows and their keys against the stored ones; ``check="whole"`` checks the whole new
+        version instead.
         """
-        log = self._log()
-        earlier = list(log[0]["folders"]) if log and mode == "append" else []
-        folder, rows = self.write(df)
-        folders = [*earlier, folder]
-        if contract is not None:
-            whole = self._spark.read.schema(self.schema).parquet(
-                *[f"{self.base}/{f}" for f in folders])
-            enforce(whole, contract, parents)
-        return self.switch(folders, rows, mode, batch)
+        return publish_together([Load(self, df, contract, parents, mode, batch, check)])[0]
 
     def compact(self) -> LoadResult:
         """Rewrite the current version as one folder, after many appends."""
-        return self.publish(self.read())
+        folder, rows = self.write(self.read())
+        return switch([(self, [folder], rows, "compact", None)])[0]
 
     def write(self, df: DataFrame) -> tuple[str, int]:
         """Write rows to a new data folder nobody reads yet; (folder, row count)."""
@@ -102,13 +119,74 @@ class SnapshotTable:
          .write.parquet(f"{self.base}/{folder}"))
         return folder, counted.get["rows"]
 
-    def switch(self, folders: Sequence[str], rows: int, mode: str,
-               batch: str | None = None) -> LoadResult:
-        """Make the folders the newest version."""
-        version = self.version() + 1
-        entry = self._spark.createDataFrame([(version, list(folders), rows, mode, batch)], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(f"{self.base}/log")
-        return LoadResult(self.base, version, rows)
+    def check(self, load: Load, folder: str) -> None:
+        """The load's contract on its written rows."""
+        contract, added = load.contract, self.folder(folder)
+        if contract is None:
+            return
+        if load.mode != "append" or load.check == "whole":
+            stored = self._folders()[1] if load.mode == "append" else []
+            enforce(self.folder(*stored, folder), contract, load.parents)
+            return
+        enforce(added, contract, load.parents)
+        for rule, columns in contract.unique.items():
+            # few keys against many: a missing key part never matches
+            again = added.join(self.read().select(*columns), list(columns), "left_semi").count()
+            if again:
+                raise ContractViolation(f"{rule}: {again}")
+
+    def vacuum(self, kept_versions: int = 1) -> int:
+        """Delete data folders that the versions since the ``kept_versions``-newest start do not
+        name: superseded versions and failed publishes. Not while a publish runs."""
+        named = {f.rpartition("/")[2] for r in self._current(kept_versions) for f in r["folders"]}
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/data")
+        files = path.getFileSystem(self._spark._jsc.hadoopConfiguration())
+        found = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+        gone = [n for n in found if n not in named]
+        for name in gone:
+            remove(self._spark, f"{self.base}/data/{name}")
+        return len(gone)
+
+
+@dataclass(frozen=True)
+class Load:
+    """Rows for a table."""
+
+    table: SnapshotTable
+    rows: DataFrame
+    contract: Contract | None = None
+    parents: Mapping[str, DataFrame] | None = None
+    mode: str = "replace"
+    batch: str | None = None
+    check: str = "added"
+
+
+def publish_together(loads: Sequence[Load]) -> list[LoadResult]:
+    """Publish several tables of one job: all are written and checked before any is switched,
+    and tables with one log are switched by one committed file."""
+    prepared = [(load, *load.table.write(load.rows)) for load in loads]
+    for load, folder, _ in prepared:
+        load.table.check(load, folder)
+    results = switch([(load.table, [folder], rows, load.mode, load.batch)
+                      for load, folder, rows in prepared])
+    for load in loads:
+        if load.mode == "append" and len(load.table._folders()[1]) > COMPACT_FOLDERS:
+            load.table.compact()
+    return results
+
+
+def switch(entries: Sequence[tuple]) -> list[LoadResult]:
+    """Log rows of (table, folders, rows written, mode, batch), one file for each log."""
+    rows: dict[str, list] = {}
+    results = []
+    for table, folders, written, mode, batch in entries:
+        version = table.version() + 1
+        rows.setdefault(table.log, []).append((table.base, version, list(folders), written, mode, batch))
+        results.append(LoadResult(table.base, version, written))
+    for log, own in rows.items():
+        spark = entries[0][0]._spark
+        spark.createDataFrame(own, LOG_SCHEMA).coalesce(1).write.mode("append").json(log)
+    return results
 
 
 def select_for(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -122,13 +200,3 @@ def select_for(df: DataFrame, schema: T.StructType) -> DataFrame:
 def nullable(schema: T.StructType) -> T.StructType:
     """Same columns, all nullable: whether a value may be missing is the contract's check."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-
-
-def publish_together(loads: Sequence[tuple]) -> list[LoadResult]:
-    """Refresh several tables of one job: all are written and checked before the first is
-    switched. A load is (table, rows) or (table, rows, contract)."""
-    prepared = [(table, *table.write(df)) for table, df, *_ in loads]
-    for (table, _, *contract), (_, folder, _) in zip(loads, prepared):
-        for rules in contract:
-            enforce(table.folder(folder), rules)
-    return [table.switch([folder], rows, "replace") for table, folder, rows in prepared]

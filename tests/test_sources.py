@@ -15,7 +15,8 @@ from portfolio_ops.plans.mapping_override import land_mapping_override, live_ove
 from portfolio_ops.session import shared_dir, stage
 from portfolio_ops.sources.landing import json_paths, land_events, with_defaults, with_lineage, with_surrogate
 from portfolio_ops.sources.registry import Registry, TableSource, quoted
-from portfolio_ops.sources.snapshot import SnapshotTable, publish_together
+from portfolio_ops.sources import snapshot
+from portfolio_ops.sources.snapshot import Load, SnapshotTable, publish_together
 from portfolio_ops.streaming.key_industry import key_industry_stream, load_batch
 
 KV = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
@@ -56,13 +57,56 @@ def test_failed_publish_leaves_the_previous_version(spark, tmp_path):
 def test_publish_together(spark, tmp_path):
     a, b = (SnapshotTable(spark, str(tmp_path / n), KV) for n in "ab")
     df = spark.createDataFrame([("a", 1)], KV)
-    assert [r.version for r in publish_together([(a, df), (b, df)])] == [1, 1]
+    assert [r.version for r in publish_together([Load(a, df), Load(b, df)])] == [1, 1]
     bad = df.withColumn("v", F.raise_error(F.lit("boom")).cast("long"))
     with pytest.raises(Exception, match="boom"):
-        publish_together([(a, df), (b, bad)])
+        publish_together([Load(a, df), Load(b, bad)])
     assert a.version() == b.version() == 1  # nothing was switched
 
 
+def test_one_log_switches_all_tables_or_none(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    a, b = (SnapshotTable(spark, str(tmp_path / n), KV, log) for n in "ab")
+    first, second = spark.createDataFrame([("a", 1)], KV), spark.createDataFrame([("a", 2)], KV)
+    publish_together([Load(a, first), Load(b, first)])
+    writes = []
+    create = spark.createDataFrame
+
+    def fail_after_one(*args, **more):
+        """A log write may succeed; another one would fail."""
+        if len(args) > 1 and args[1] is snapshot.LOG_SCHEMA:
+            writes.append(args[0])
+            if len(writes) > 1:
+                raise RuntimeError("lost between two switches")
+        return create(*args, **more)
+    monkeypatch.setattr(spark, "createDataFrame", fail_after_one)
+    publish_together([Load(a, second), Load(b, second)])
+    assert len(writes) == 1 and rows(a.read()) == rows(b.read()) == [("a", 2)]
+    monkeypatch.undo()
+    bad = Load(b, spark.createDataFrame([(None, 3)], KV), Contract(("k",)))
+    with pytest.raises(ContractViolation):
+        publish_together([Load(a, first), bad])
+    assert rows(a.read()) == rows(b.read()) == [("a", 2)]
+
+
+def test_many_appends_stay_small_and_vacuum_cleans(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshot, "COMPACT_FOLDERS", 4)
+    table = SnapshotTable(spark, str(tmp_path / "t"), KV)
+    for k in range(11):
+        table.publish(spark.createDataFrame([(f"k{k}", k)], KV), "append",
+                      contract=Contract(("k",), {"PK": ("k",)}), batch=f"b{k}")
+    assert rows(table.read()) == sorted((f"k{k}", k) for k in range(11))
+    assert table.history().agg(F.max(F.size("folders"))).first()[0] == 1
+    assert len(table._folders()[1]) <= 5
+    assert table.has_batch("b3") and not table.has_batch("b99")
+    with pytest.raises(ContractViolation, match="PK: 1"):
+        table.publish(spark.createDataFrame([("k2", 0)], KV), "append", contract=Contract((), {"PK": ("k",)}))
+    kept = len(table._folders()[1])
+    assert table.vacuum() > 0
+    assert len(list((tmp_path / "t" / "data").iterdir())) == kept
+    assert rows(table.read()) == sorted((f"k{k}", k) for k in range(11)) and table.vacuum() == 0
+
+
 def test_registry(spark, tmp_path):
     spark.createDataFrame([("a", 1)], KV).write.parquet(str(tmp_path / "p"))
     names = Registry(spark, {"[Db].[Schema].[TBL:Odd.Table]": str(tmp_path / "p"),
