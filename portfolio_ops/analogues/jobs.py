@@ -116,12 +116,15 @@ def key_industry_json(t: Tables) -> DataFrame:
 
 # -- section-mapping override -----------------------------------------------
 
+OVERRIDE_DEFAULTS = {"CREATED_BY": "loader", "CREATED_FROM": "event feed", "SOURCE_NAME": "overrides"}
+
+
 @query("mapping_override", """
 SELECT CAST(event_id AS DOUBLE) AS "ID", 'E' || user_id AS "CCV9_EXPOSURE_REFERENCE",
  'S' || event_type AS "NEW_SECTION_REFERENCE",
- CASE WHEN event_type='click' THEN 'web' ELSE 'CENTRAL_MDM_KAFKA_SA' END AS "CREATED_BY",
- 'CONFLUENT_CLOUD' AS "CREATED_FROM",
- 'MDS: Claim_Exposure_To_Section_Mapping_Override' AS "SOURCE_NAME"
+ CASE WHEN event_type='click' THEN 'web' ELSE 'loader' END AS "CREATED_BY",
+ 'event feed' AS "CREATED_FROM",
+ 'overrides' AS "SOURCE_NAME"
 FROM events WHERE event_type <> 'error'""")
 def mapping_override(t: Tables) -> DataFrame:
     kind = F.col("event_type")
@@ -130,7 +133,7 @@ def mapping_override(t: Tables) -> DataFrame:
         F.concat(F.lit("S"), kind).alias("NEW_SECTION_REFERENCE"),
         F.when(kind == "click", "web").alias("CREATED_BY"),
         F.when(kind == "error", True).when(kind == "view", False).alias("IS_DELETED"))
-    rows = live_overrides(land_mapping_override(_with_absent(records)))
+    rows = live_overrides(land_mapping_override(_with_absent(records), OVERRIDE_DEFAULTS))
     return flat(rows.select("ID", "CCV9_EXPOSURE_REFERENCE", "NEW_SECTION_REFERENCE", "CREATED_BY",
                             "CREATED_FROM", "SOURCE_NAME"))
 

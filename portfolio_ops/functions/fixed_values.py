@@ -133,13 +133,6 @@ KEY_INDUSTRY_PATHS = {
 }
 KEY_INDUSTRY_KEYS = ["BK_RATER_NAME", "BK_VERSION", "BK_RATING_ID", "BK_CLIENT_SUPPLIED_ID"]
 
-# -- section-mapping override -----------------------------------------------
-OVERRIDE_DEFAULTS = {
-    "CREATED_BY": "CENTRAL_MDM_KAFKA_SA",
-    "CREATED_FROM": "CONFLUENT_CLOUD",
-    "SOURCE_NAME": "MDS: Claim_Exposure_To_Section_Mapping_Override",
-}
-
 # -- focus rules ------------------------------------------------------------
 SPECIALTY_DEPT = "Specialty Lines"
 POLICY_REFERENCE_LENGTH = 8

@@ -25,7 +25,7 @@ from portfolio_ops.functions.exprs import (
     reporting_currency, required, settlement_to_usd, zero_to_one)
 from portfolio_ops.functions.hashing import row_hash
 from portfolio_ops.operators.change import merge_snapshot
-from portfolio_ops.operators.dedupe import first_per_key, latest_per_key
+from portfolio_ops.operators.dedupe import latest_per_key
 from portfolio_ops.operators.lookups import with_one_row
 from portfolio_ops.operators.ordered import (
     GROUP_ROWS, Ordered, balance_columns, large_groups, plain, reverse_position, split_by)
@@ -172,16 +172,16 @@ def first_movements(movement: DataFrame) -> DataFrame:
     whose first row is inactive while another one is active gets no opening row.
     """
     rows = movement.filter((F.col("source_system") == fv.CLAIM_SOURCE) & (F.col("sequence_number") == 1))
-    top = first_per_key(rows, [EXPOSURE], [
-        F.col("source_system_event_date_time").desc_nulls_first(),
-        F.col("sequence_number").asc_nulls_last(),
-        F.col("movement_reference_source_id").asc_nulls_last(),
-        F.col("settlement_currency").asc_nulls_last(),
-        F.col("original_currency").asc_nulls_last()])
-    active = rows.groupBy(EXPOSURE).agg(F.max(flag_on("is_active")).alias("_any_active"))
-    first = top.select(EXPOSURE, flag_on("is_active").alias("_first_active"), "movement_date",
-                       "movement_type", "settlement_currency", "original_currency")
-    return first.join(active, EXPOSURE)
+    # latest first, a missing time before all; then the smallest, missing values last
+    event = F.col("source_system_event_date_time")
+    order = [event.isNotNull(), -F.unix_micros(event)]
+    for name in ("movement_reference_source_id", "settlement_currency", "original_currency"):
+        order += [F.col(name).isNull(), F.col(name)]
+    top = F.struct(flag_on("is_active").alias("_first_active"), "movement_date", "movement_type",
+                   "settlement_currency", "original_currency")
+    return rows.groupBy(EXPOSURE).agg(
+        F.min_by(top, F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)])).alias("_top"),
+        F.max(flag_on("is_active")).alias("_any_active")).select(EXPOSURE, "_top.*", "_any_active")
 
 
 def opening_rows(inputs: ClaimInputs) -> DataFrame:

@@ -67,8 +67,9 @@ def publish_key_industry(target: SnapshotTable, interim: DataFrame) -> LoadResul
     return target.publish(key_industry(interim, target.read()), mode="append")
 
 
-def publish_overrides(target: SnapshotTable, records: DataFrame) -> LoadResult:
-    return target.publish(land_mapping_override(records), mode="append")
+def publish_overrides(target: SnapshotTable, records: DataFrame,
+                      defaults: Mapping[str, str]) -> LoadResult:
+    return target.publish(land_mapping_override(records, defaults), mode="append")
 
 
 def publish_vault(targets: Mapping[str, SnapshotTable],

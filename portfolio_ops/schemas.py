@@ -1,4 +1,7 @@
-"""Declared schemas of job inputs and outputs."""
+"""Declared schemas of job inputs and outputs.
+
+Fixed values: table and column names must equal those of the data, in declared order.
+"""
 
 from __future__ import annotations
 

@@ -181,9 +181,10 @@ def test_key_industry(make):
 def test_mapping_override(make):
     records = make(s.MAPPING_OVERRIDE, [dict(CODE=c, IS_DELETED=d, CREATED_BY=b) for c, d, b in [
         ("a", True, None), ("b", False, "me"), ("c", None, None)]])
-    got = {r["CODE"]: r for r in live_overrides(land_mapping_override(records)).collect()}
+    defaults = {"CREATED_BY": "job", "CREATED_FROM": "topic", "SOURCE_NAME": "list"}
+    got = {r["CODE"]: r for r in live_overrides(land_mapping_override(records, defaults)).collect()}
     assert set(got) == {"b", "c"} and got["b"]["CREATED_BY"] == "me"
-    assert got["c"]["CREATED_BY"] == fv.OVERRIDE_DEFAULTS["CREATED_BY"] and got["c"]["CREATED_AT"] is not None
+    assert got["c"]["CREATED_BY"] == "job" and got["c"]["CREATED_AT"] is not None
 
 
 def test_stream_equals_batch_and_replay_adds_nothing(spark, make, tmp_path):
