@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from portfolio_ops.analogues.registry import Tables, flat, query
 from portfolio_ops.operators.vault import satellite_as_of
 from portfolio_ops.plans import vault_model
-from portfolio_ops.plans.vault_load import load_table
+from portfolio_ops.operators.migrate import migrate
+from portfolio_ops.plans.vault_load import load_migrated, load_table, load_vault
 from portfolio_ops.session import stage
 from portfolio_ops.sources.snapshot import nullable
 
@@ -123,3 +124,59 @@ WHERE seen <= TIMESTAMP '1999-01-01' AND (fin IS NULL OR fin > TIMESTAMP '1999-0
 def as_of(t: Tables) -> DataFrame:
     rows = satellite_as_of(satellite(t), F.lit("1999-01-01").cast("timestamp_ntz"))
     return rows.select("HUB_POLICY_HK", "POLICY_STATUS_NAME")
+
+
+_VERSIONS = _SATELLITE + """
+SELECT md5(CAST(k AS VARCHAR)) AS "HUB_POLICY_HK", strftime(seen, '%Y-%m-%d') AS "LOAD_DATETIME", st AS "POLICY_STATUS_NME",
+ strftime(seen, '%Y-%m-%d') AS "EVENT_TIMESTAMP", CAST({run} AS DOUBLE) AS "PROCESS_ID",
+ CAST(fin IS NULL AS BIGINT) AS "IS_CURRENT_FLAG" FROM e"""
+_MIGRATED = ["HUB_POLICY_HK", "LOAD_DATETIME", "POLICY_STATUS_NME", "EVENT_TIMESTAMP", "PROCESS_ID",
+             "IS_CURRENT_FLAG"]
+
+
+@query("vault_migration", _VERSIONS.format(run="1"))
+def migration(t: Tables) -> DataFrame:
+    """The whole plan over all 24 tables, of which one is loaded."""
+    tables = {n: _empty(t, n) for n in vault_model.TABLES}
+    tables["SAT_POLICY_DETAIL_RAW"] = satellite(t)
+    fill = {"PROCESS_ID": F.lit(1), "EVENT_TIMESTAMP": F.col("LOAD_DATETIME"), "ROW_DIFF_HK": F.unhex("HASH_DIFF")}
+    out = migrate(tables, vault_model.migration(as_declared=True), {n: fill for n in tables})
+    assert set(out) == {vault_model.end_name(n) for n in vault_model.TABLES}
+    return flat(out[vault_model.end_name("SAT_POLICY_DETAIL_RAW")].select(*_MIGRATED))
+
+
+@query("vault_load_migrated", _VERSIONS.format(
+    run=f"CASE WHEN seen < TIMESTAMP '{FIRST_LOAD}' THEN 7 ELSE 8 END"))
+def migrated_load(t: Tables) -> DataFrame:
+    """Two loads into the migrated satellite; stored versions keep their process."""
+    name, source = "SAT_POLICY_DETAIL_RAW", stage(premium_source(t), "versions")
+    stored = t.spark.createDataFrame([], nullable(vault_model.migrated_schema(name)))
+    early = source.filter(F.col("LOAD_DATETIME") < F.lit(FIRST_LOAD).cast("timestamp_ntz"))
+    first = stage(load_migrated(name, stored, early, F.col("LOAD_DATETIME"), F.lit(7)), "satellite")
+    return flat(load_migrated(name, first, source, F.col("LOAD_DATETIME"), F.lit(8)).select(*_MIGRATED))
+
+
+@query("vault_load_all", """
+SELECT 'HUB_POLICY' AS table_name, count(DISTINCT o_custkey) AS n FROM orders
+UNION ALL SELECT 'HUB_POLICY_LINE', count(DISTINCT l_suppkey) FROM lineitem JOIN orders ON o_orderkey=l_orderkey
+UNION ALL SELECT 'LNK_POLICY_POLICY_LINE', count(*) FROM (SELECT DISTINCT o_custkey, l_suppkey FROM lineitem JOIN orders ON o_orderkey=l_orderkey)
+UNION ALL SELECT 'SAT_POLICY_DETAIL_RAW', count(*) FROM (SELECT o_custkey, max(o_orderstatus) AS st, o_orderdate FROM orders GROUP BY 1, 3
+ QUALIFY st IS DISTINCT FROM lag(st) OVER (PARTITION BY o_custkey ORDER BY o_orderdate))""")
+def load_all(t: Tables) -> DataFrame:
+    """Hubs, a link and a satellite in one load: rows of each table."""
+    from portfolio_ops.operators.vault import with_hub_key
+    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    names = {"POLICY_REFERENCE_NK": F.concat(F.lit("C"), "o_custkey"),
+             vault_model.TABLES["HUB_POLICY_LINE"].natural_key: F.concat(F.lit("S"), "l_suppkey")}
+    keyed = lines.withColumns(names)
+    for column, key in zip(names, ("HUB_POLICY_HK", "HUB_POLICY_LINE_HK")):
+        keyed = with_hub_key(keyed, [column], key)
+    sources = {"HUB_POLICY": policy_source(t), "HUB_POLICY_LINE": _technical(keyed, "o_orderdate"),
+               "LNK_POLICY_POLICY_LINE": _technical(keyed, "o_orderdate"),
+               "SAT_POLICY_DETAIL_RAW": premium_source(t)}
+    loaded = load_vault({n: _empty(t, n) for n in sources}, sources)
+    counts = [df.select(F.lit(n).alias("table_name")) for n, df in loaded.items()]
+    whole = counts[0]
+    for part in counts[1:]:
+        whole = whole.unionByName(part)
+    return whole.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
