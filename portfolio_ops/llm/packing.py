@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,17 +31,20 @@ class LibraryCoder:
         self.model.no_padding()
         self.cache = PieceCache(self._pieces)
 
-    def _pieces(self, strings):
+    def _pieces(self, strings: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(strings, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+        ids = [e.ids for e in found]
+        flat = np.array(list(chain.from_iterable(ids)), "<u4").tobytes()
+        ends = np.cumsum([4 * len(x) for x in ids]).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def texts(self, texts: list[str]):
         parts, layout = self.vocab.segments(texts)
         pieces = Pieces(parts, self.vocab.spaced)
         found = self.cache(pieces)
-        sizes = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
-        heads = np.concatenate([[0], np.cumsum(sizes)])[:-1] if found else sizes
+        sizes = np.array([len(x) for x in found], np.int64) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        heads = np.cumsum(sizes) - sizes
         counts = sizes[pieces.number]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0

@@ -15,11 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portfolio_ops.llm import shared
-from portfolio_ops.llm.text import changes, id_and_text, span_hashes
+from portfolio_ops.llm.text import changes, id_and_text, mix, power, span_hashes
 
 LENGTH = 50
 GRAM = 26
@@ -27,6 +29,7 @@ BATCH_BYTES = 4 << 20
 PARTS = 256             # of a key range
 SORTED_BYTES = 1 << 20  # contexts sorted together, unless one part has more
 SEPARATOR = 0xFF  # no byte of UTF-8
+HOT = 4096        # contexts of one key that may meet
 
 
 def word_at(values: np.ndarray) -> np.ndarray:
@@ -192,49 +195,68 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
+    """Polynomial hash of the ``gram`` bytes from every place; the same bytes, the same hash."""
     n = len(raw) - gram + 1
-    begin = np.arange(n)
-    return span_hashes(raw, begin, begin + gram)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power("up", len(raw))[:len(raw)], out=sums[1:])
+    return (sums[gram:] - sums[:n]) * power("down", n)[:n]
 
 
 def own_windows(ids: np.ndarray, texts: list[str], length: int = LENGTH, gram: int = GRAM) -> Owners:
+    """Runs of windows with one owner: the first place of the least gram hash inside them.
+
+    From one window to the next the owner changes where it is left behind or a lesser hash
+    comes in.
+    """
     parts = []
     raws = [t.encode("utf-8") for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raws], dtype=np.int64)])
     raw = np.frombuffer(b"".join(raws), np.uint8)
     width = length - gram + 1
     for a, b in shared.text_runs(texts):
-        start, stop = offsets[a], offsets[b]
-        if stop - start < length:
+        base, stop = offsets[a], offsets[b]
+        if stop - base < length:
             continue
-        h = gram_hashes(raw[start:stop], gram)
-        least = _sliding(h, width, np.minimum)            # of each window's grams
+        h = gram_hashes(raw[base:stop], gram)
+        rank = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.uint32)
+        least = _sliding(rank, width, np.minimum)
         n = len(least)
-        most = _sliding(np.concatenate([np.zeros(width - 1, np.uint64), least,
-                                        np.zeros(width - 1, np.uint64)]), width, np.maximum)
-        anchors = np.flatnonzero(most == h)
-        doc = np.repeat(np.arange(a, b), np.diff(offsets[a:b + 1]))[:n]
-        valid = np.flatnonzero(np.arange(start, start + n) + length <= offsets[doc + 1])
-        at = np.searchsorted(anchors, valid)
-        while True:                                        # first anchor with the least hash
-            wrong = np.flatnonzero(h[anchors[at]] != least[valid])
-            if not len(wrong):
-                break
-            at[wrong] += 1
-        # a place never owns windows of two documents: its gram lies in one
-        heads = np.flatnonzero(changes(at))
-        if len(heads):
-            tails = np.append(heads[1:], len(valid)) - 1
-            parts.append((h[anchors[at[heads]]], doc[valid[heads]],
-                          start + valid[heads], start + valid[tails]))
+        fresh = np.ones(n + 1, bool)
+        fresh[1:n] = (rank[:n - 1] == least[:-1]) | (least[1:] < least[:-1])
+        inner = offsets[a:b + 1] - base
+        fresh[inner[inner < n]] = True
+        past = np.maximum(inner[1:] - length + 1, inner[:-1])   # first window that leaves its text
+        fresh[past[past < n]] = True
+        edges = np.flatnonzero(fresh)
+        low, high = edges[:-1], edges[1:] - 1
+        doc = np.searchsorted(inner, low, side="right") - 1
+        inside = low + length <= inner[doc + 1]
+        low, high, doc = low[inside], high[inside], doc[inside]
+        if len(low):
+            owner = low + sliding_window_view(rank, width)[low].argmin(axis=1)
+            parts.append((mix(h[owner]), doc + a, base + low, base + high))
     key, doc, low, high = (np.concatenate(c) if c else np.zeros(0, np.int64)
                            for c in (zip(*parts) if parts else ((), (), (), ())))
     return Owners(raw, ids, offsets, key.astype(np.uint64), doc.astype(np.int64),
                   low.astype(np.int64), high.astype(np.int64))
 
 
+def contents(own: Owners, length: int = LENGTH) -> np.ndarray:
+    """Hash of the bytes of each run's windows."""
+    out = np.empty(len(own.key), np.uint64)
+    start = 0
+    while start < len(out):
+        stop = int(np.searchsorted(own.low, own.low[start] + (1 << 20)))
+        base, end = own.low[start], own.high[stop - 1] + length
+        part = slice(start, stop)
+        out[part] = span_hashes(own.raw[base:end], own.low[part] - base, own.high[part] + length - base)
+        start = stop
+    return out
+
+
 def batch_keys(ids: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct owner keys and 1, or 2 where documents of two ids have it."""
+    """Distinct owner keys; 1 where one document id has it, else the number of its different
+    contexts, at least 2."""
     own = own_windows(ids, texts)
     order = np.argsort(own.key, kind="stable")
     key, doc = own.key[order], own.ids[own.doc[order]]
@@ -242,36 +264,62 @@ def batch_keys(ids: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarra
     if not len(heads):
         return key, np.zeros(0, np.int64)
     several = np.maximum.reduceat(doc, heads) != np.minimum.reduceat(doc, heads)
-    return key[heads], 1 + several
+    counts = np.ones(len(heads), np.int64)
+    number = np.cumsum(changes(key)) - 1
+    some = np.flatnonzero(several[number])
+    if len(some):
+        content = contents(own)[order[some]]
+        which, content = number[some], content
+        again = np.lexsort((content, which))
+        fresh = changes(which[again], content[again])
+        counts += np.where(several, np.maximum(
+            np.bincount(which[again][fresh], minlength=len(heads)), 2) - 1, 0)
+    return key[heads], counts
 
 
 @dataclass
 class Contexts:
-    """Distinct contexts of a batch, sorted by key: ``run`` is a run that has it; ``of_run`` the
-    context of each shared run (``runs``)."""
-    runs: np.ndarray
+    """Distinct contexts of a batch, sorted by key. ``own`` has the runs that count; ``of_run``
+    is the context of each, ``run`` a run that has a context."""
+    own: Owners
     of_run: np.ndarray
     run: np.ndarray
     low: np.ndarray
     several: np.ndarray
 
 
-def batch_contexts(own: Owners, answers: pa.Table, count: int, length: int = LENGTH) -> Contexts:
+def batch_contexts(own: Owners, answers: pa.Table, count: int, length: int = LENGTH,
+                   hot: int = HOT) -> Contexts:
+    """Contexts of the keys that other documents have too.
+
+    The windows of a key with more than ``hot`` contexts in the corpus are dealt one by one,
+    by the hash of their own bytes. Equal windows still meet, and no key range gets all the
+    surroundings of a line that a large part of the documents has.
+    """
     keys, number = np.unique(own.key, return_inverse=True)
-    total = shared.apply_answers(keys, answers, count)
-    runs = np.flatnonzero(total[number] > 1)
-    content = span_hashes(own.raw, own.low[runs], own.high[runs] + length) if len(runs) \
-        else np.zeros(0, np.uint64)
-    order = np.lexsort((content, own.key[runs]))
-    key, sorted_content = own.key[runs][order], content[order]
-    fresh = changes(key, sorted_content)
-    of_run = np.empty(len(runs), np.int64)
+    total = shared.apply_answers(keys, answers, count)[number]
+    key, doc, low, high = (v[(total > 1) & (total <= hot)] for v in (own.key, own.doc, own.low, own.high))
+    many = np.flatnonzero(total > hot)
+    if len(many):
+        sizes = own.high[many] - own.low[many] + 1
+        at = np.repeat(own.low[many] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        alone = Owners(own.raw, own.ids, own.offsets, np.zeros(len(at), np.uint64),
+                       np.repeat(own.doc[many], sizes), at, at)
+        key, doc = np.concatenate([key, contents(alone, length)]), np.concatenate([doc, alone.doc])
+        low, high = np.concatenate([low, at]), np.concatenate([high, at])
+        placed = np.argsort(low, kind="stable")
+        key, doc, low, high = key[placed], doc[placed], low[placed], high[placed]
+    own = Owners(own.raw, own.ids, own.offsets, key, doc, low, high)
+    content = contents(own, length)
+    order = np.lexsort((content, key))
+    fresh = changes(key[order], content[order])
+    of_run = np.empty(len(key), np.int64)
     of_run[order] = np.cumsum(fresh) - 1
     heads = np.flatnonzero(fresh)
-    doc = own.ids[own.doc[runs[order]]]
-    low = np.minimum.reduceat(doc, heads) if len(heads) else doc
-    high = np.maximum.reduceat(doc, heads) if len(heads) else doc
-    return Contexts(runs, of_run, runs[order[heads]], low, low != high)
+    ids = own.ids[doc[order]]
+    first = np.minimum.reduceat(ids, heads) if len(heads) else ids
+    last = np.maximum.reduceat(ids, heads) if len(heads) else ids
+    return Contexts(own, of_run, order[heads], first, first != last)
 
 
 def gather(raw: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -286,9 +334,11 @@ SENT = ("batch int, range int, first int, parts binary, docs binary, several bin
 FOUND = "batch int, contexts binary, starts binary, lengths binary, lows binary"
 
 
-def contexts_to_send(batch: int, own: Owners, found: Contexts, count: int) -> pa.Table:
+def contexts_to_send(batch: int, found: Contexts, count: int) -> pa.Table:
+    own = found.own
     part = shared.ranges(own.key[found.run], count * PARTS)
     bounds = np.searchsorted(part, np.arange(count + 1) * PARTS)
+    packer = zstandard.ZstdCompressor(level=3)
     rows = []
     for r in np.flatnonzero(np.diff(bounds)).tolist():
         a, b = bounds[r], bounds[r + 1]
@@ -297,7 +347,7 @@ def contexts_to_send(batch: int, own: Owners, found: Contexts, count: int) -> pa
         rows.append((r, a, (part[a:b] % PARTS).astype(np.uint8).tobytes(),
                      found.low[a:b].astype("<i8").tobytes(),
                      np.packbits(found.several[a:b]).tobytes(), sizes.astype("<u2").tobytes(),
-                     gather(own.raw, low, sizes).tobytes()))
+                     packer.compress(gather(own.raw, low, sizes).tobytes())))
     columns = list(zip(*rows)) if rows else [[]] * 7
     return pa.table({"batch": pa.array([batch] * len(rows), pa.int32()),
                      "range": pa.array(columns[0], pa.int32()),
@@ -314,7 +364,7 @@ def resolve_range(table: pa.Table) -> pa.Table:
     docs = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table["docs"]])
     several = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=n)
                               for x, n in zip(table["several"], counts)]).astype(bool)
-    raw = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table["bytes"]])
+    raw = np.frombuffer(b"".join(zstandard.decompress(x.as_py()) for x in table["bytes"]), np.uint8)
     size = np.concatenate([np.frombuffer(x.as_py(), "<u2") for x in table["sizes"]]).astype(np.int64)
     begin = np.cumsum(size) - size
     content = span_hashes_by_run(raw, begin, size)
@@ -393,8 +443,9 @@ def _resolve(entries, fresh, raw, begin, size, docs, several):
     return entry, run_start[run], lengths[run], low[run]
 
 
-def removed_bytes(own: Owners, found: Contexts, answers: pa.Table) -> np.ndarray:
-    """True for every byte of ``own.raw`` that goes."""
+def removed_bytes(found: Contexts, answers: pa.Table) -> np.ndarray:
+    """True for every byte of the batch that goes."""
+    own = found.own
     edge = np.zeros(len(own.raw) + 1, np.int32)
     if answers.num_rows:
         context, start, length, low = (
@@ -404,7 +455,7 @@ def removed_bytes(own: Owners, found: Contexts, answers: pa.Table) -> np.ndarray
         context, start, length, low = context[order], start[order], length[order], low[order]
         bounds = np.searchsorted(context, np.arange(len(found.run) + 1))
         n = np.diff(bounds)[found.of_run]
-        run = np.repeat(found.runs, n)
+        run = np.repeat(np.arange(len(own.key)), n)
         at = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bounds[found.of_run], n)
         goes = low[at] < own.ids[own.doc[run]]
         run, at = run[goes], at[goes]
@@ -421,7 +472,7 @@ def _batch_docs(own: Owners, gone: np.ndarray):
         yield own.raw[a:b], gone[a:b]
 
 
-def _removals(rows: DataFrame, finish, schema, batch_bytes: int) -> DataFrame:
+def _removals(rows: DataFrame, finish, schema, batch_bytes: int, hot: int = HOT) -> DataFrame:
     batches = shared.n_batches(rows, batch_bytes)
     count = shared.range_count(batches)
     batched = shared.in_batches(rows, batches)
@@ -429,9 +480,8 @@ def _removals(rows: DataFrame, finish, schema, batch_bytes: int) -> DataFrame:
 
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
         own = own_windows(*shared.sorted_batch(table))
-        found = batch_contexts(own, answers, count)
-        return contexts_to_send(table["batch"][0].as_py() if table.num_rows else -1,
-                                own, found, count)
+        found = batch_contexts(own, answers, count, hot=hot)
+        return contexts_to_send(table["batch"][0].as_py() if table.num_rows else -1, found, count)
 
     sent = batched.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(send, SENT)
     resolved = sent.groupBy("range").applyInArrow(resolve_range, FOUND)
@@ -445,8 +495,8 @@ def _removals(rows: DataFrame, finish, schema, batch_bytes: int) -> DataFrame:
         ids, texts = shared.sorted_batch(table)
         own = own_windows(ids, texts)
         is_answer = pc.is_valid(mixed["range"])
-        found = batch_contexts(own, mixed.filter(is_answer), count)
-        gone = removed_bytes(own, found, mixed.filter(pc.invert(is_answer)))
+        found = batch_contexts(own, mixed.filter(is_answer), count, hot=hot)
+        gone = removed_bytes(found, mixed.filter(pc.invert(is_answer)))
         return finish(shared.in_order(table), _batch_docs(own, gone))
 
     return batched.groupBy("batch").cogroup(tagged.groupBy("batch")).applyInArrow(cut, schema)
@@ -469,14 +519,14 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame
                                    "kept binary", batch_bytes)
 
 
-def repeat_digests(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def repeat_digests(docs: DataFrame, batch_bytes: int = BATCH_BYTES, hot: int = HOT) -> DataFrame:
     """``remove_repeats`` with ``kept_sha256`` made in the same pass instead of the bytes."""
     def finish(table, docs):
         return _table(table["doc_id"], [(len(r), int(g.sum()), _spans(g),
                                          hashlib.sha256(r[~g].tobytes()).hexdigest())
                                         for r, g in docs], {"kept_sha256": pa.string()})
     return _removals(id_and_text(docs), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, "
-                                   "kept_sha256 string", batch_bytes)
+                                   "kept_sha256 string", batch_bytes, hot)
 
 
 def whole_characters(raw: np.ndarray, gone: np.ndarray) -> np.ndarray:

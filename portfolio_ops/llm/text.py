@@ -137,7 +137,7 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power(kind: str, size: int) -> np.ndarray:
+def power(kind: str, size: int) -> np.ndarray:
     if len(_powers[kind]) < size:
         base = _BASE if kind == "up" else _INVERSE
         steps = np.full(max(size, 1 << 16), base, np.uint64)
@@ -160,8 +160,8 @@ def span_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nd
     """64-bit hash of ``values[begin:end]`` for each span, from one prefix sum."""
     n = len(values)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _power("up", n)[:n], out=sums[1:])
-    h = (sums[end] - sums[begin]) * _power("down", n + 1)[begin]
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power("up", n)[:n], out=sums[1:])
+    h = (sums[end] - sums[begin]) * power("down", n + 1)[begin]
     return mix(h + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -200,22 +200,29 @@ class Pieces:
 class PieceCache:
     """Results by piece hash, kept for the life of a Python worker up to ``limit`` pieces.
 
-    The limit bounds memory only: when it is reached the cache starts anew.
+    The limit bounds memory only. Pieces are held in two generations: when the younger has half
+    the limit it becomes the older one, and what is asked for again moves up.
     """
 
-    def __init__(self, compute, limit: int = 400_000):
-        self.compute, self.limit, self.known = compute, limit, {}
+    def __init__(self, compute, limit: int = 300_000):
+        self.compute, self.limit = compute, limit
+        self.young: dict = {}
+        self.older: dict = {}
 
     def __call__(self, pieces: Pieces) -> list:
         """One result for each distinct piece, in the order of ``pieces.hashes``."""
         keys = pieces.hashes.tolist()
-        known = self.known
-        out = list(map(known.get, keys))
-        missing = [i for i, x in enumerate(out) if x is None]
+        out = list(map(self.young.get, keys))
+        absent = [i for i, x in enumerate(out) if x is None]
+        missing = []
+        for i in absent:
+            out[i] = self.older.get(keys[i])
+            if out[i] is None:
+                missing.append(i)
         if missing:
-            found = self.compute(pieces.strings(np.asarray(missing)))
-            if len(known) + len(missing) > self.limit:
-                known.clear()
-            for i, x in zip(missing, found):
-                out[i] = known[keys[i]] = x
+            for i, x in zip(missing, self.compute(pieces.strings(np.asarray(missing)))):
+                out[i] = x
+        if len(self.young) + len(absent) > self.limit // 2:
+            self.older, self.young = self.young, {}
+        self.young.update((keys[i], out[i]) for i in absent)
         return out
