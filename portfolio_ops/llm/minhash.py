@@ -26,6 +26,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 DAMPING = 0.25
 BATCH_BYTES = 4 << 20
+BLOCK_BYTES = 4 << 20   # of packed shingles in a block of a candidate group
 
 
 def odd_numbers(count: int, seed: int) -> np.ndarray:
@@ -250,8 +251,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, batch_bytes
         .where("n > 1")
     groups = components(bands.join(smallest, "band").where("node != b")
                         .select(F.col("node").alias("a"), "b"))
-    parts = groups.groupBy("component").agg(
-        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    sizes = members.select("node", F.octet_length("keys").alias("bytes")).dropDuplicates(["node"]) \
+        .join(groups, "node")
+    parts = sizes.groupBy("component").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("parts"))
     # a node's block meets every block of its group, itself included
     dealt = members.select("node", "keys", "tf", "df").join(groups, "node") \
         .dropDuplicates(["node"]).join(parts, "component") \

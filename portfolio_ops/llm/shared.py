@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from portfolio_ops.llm.text import release_memory
+
 
 
 def n_batches(docs: DataFrame, batch_bytes: int) -> int:
@@ -38,6 +40,7 @@ NULL_ID = np.iinfo(np.int64).max
 
 def in_order(table: pa.Table) -> pa.Table:
     """A batch in an order that does not depend on the shuffle; null ids are last."""
+    release_memory()
     return table.append_column("order", pc.fill_null(table["doc_id"], int(NULL_ID))) \
         .sort_by([("order", "ascending"), ("text", "ascending")])
 

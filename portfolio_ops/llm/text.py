@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -16,7 +17,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # fixed values: the code points of the Unicode property White_Space
 WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                0x202F, 0x205F, 0x3000]
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
@@ -40,6 +41,24 @@ def chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield ids.slice(start, stop - start), texts.slice(start, stop - start).to_pylist()
             start = stop
+        release_memory()
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's call that returns free memory, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def release_memory() -> None:
+    """Return freed arrays to the system: a Python worker lives on for later tasks, next to the
+    executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
 
 
 @lru_cache(maxsize=1)
