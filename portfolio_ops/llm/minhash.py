@@ -139,7 +139,7 @@ SKETCH = "doc_id long, node long, bands array<long>, keys binary, tf binary, df
 
 def sketch_batch(ids: np.ndarray, texts: list[str], answers: pa.Table, count: int, n_docs: int,
                  similarity: float) -> pa.Table:
-    """Sketches of a batch. A link of weighted Jaccard ``similarity`` needs that share of a
+    """Sketches of a batch, one for each node. A link of weighted Jaccard ``similarity`` needs that share of a
     document's weight in shingles that another document has too, so only such documents get
     one; the others can have no link."""
     doc, key, tf = shingles(texts)
@@ -155,7 +155,7 @@ def sketch_batch(ids: np.ndarray, texts: list[str], answers: pa.Table, count: in
     n = len(texts)
     node, bands = [None] * n, [None] * n
     packed: dict[str, list] = {"keys": [None] * n, "tf": [None] * n, "df": [None] * n}
-    start = 0
+    start, seen = 0, set()
     while start < len(chosen):
         stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + 50_000)))
         stop = min(stop, len(chosen))
@@ -168,6 +168,9 @@ def sketch_batch(ids: np.ndarray, texts: list[str], answers: pa.Table, count: in
                    df[own].astype("<u4").tobytes())
             node[at] = int.from_bytes(hashlib.blake2b(row[0] + row[1], digest_size=8).digest(),
                                       "little", signed=True)
+            if node[at] in seen:        # a copy: the first of the batch tells the rest
+                continue
+            seen.add(node[at])
             bands[at] = keys[i - start].tolist()
             packed["keys"][at], packed["tf"][at], packed["df"][at] = row
         start = stop
@@ -245,18 +248,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, batch_bytes
     sketches = stage(batched.groupBy("batch").cogroup(known.groupBy("batch"))
                      .applyInArrow(sketch, SKETCH), "sketches")
     members = sketches.where("node is not null")
-    bands = members.select("node", "bands").dropDuplicates(["node"]) \
+    nodes = members.where("keys is not null")   # a row of each node from each batch that has it
+    bands = nodes.select("node", "bands").dropDuplicates(["node"]) \
         .select("node", F.explode("bands").alias("band"))
     smallest = bands.groupBy("band").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")) \
         .where("n > 1")
     groups = components(bands.join(smallest, "band").where("node != b")
                         .select(F.col("node").alias("a"), "b"))
-    sizes = members.select("node", F.octet_length("keys").alias("bytes")).dropDuplicates(["node"]) \
+    sizes = nodes.select("node", F.octet_length("keys").alias("bytes")).dropDuplicates(["node"]) \
         .join(groups, "node")
     parts = sizes.groupBy("component").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("parts"))
     # a node's block meets every block of its group, itself included
-    dealt = members.select("node", "keys", "tf", "df").join(groups, "node") \
+    dealt = nodes.select("node", "keys", "tf", "df").join(groups, "node") \
         .dropDuplicates(["node"]).join(parts, "component") \
         .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
