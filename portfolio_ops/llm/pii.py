@@ -45,6 +45,7 @@ LETTERS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMN
            "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ", "ΆΈΉΊΌΎΏ"]
 PLAIN = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
 HEX = ["0123456789abcdef", "ABCDEF"]
+CACHED_CHARS = 256      # longer entities are replaced without the cache
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NUMBERS = re.compile(
@@ -55,15 +56,14 @@ NUMBERS = re.compile(
     r"|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
     r"|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w))", re.ASCII)
 SECRETS = re.compile(
-    r"(?<![A-Za-z0-9_])(?:(?P<hex>(?=[a-f]*\d)[0-9a-f]{32,128}|(?=[A-F]*\d)[0-9A-F]{32,128})"
+    r"(?<![A-Za-z0-9_])(?:(?P<hex>(?=[a-f]*\d)[0-9a-f]{32,}|(?=[A-F]*\d)[0-9A-F]{32,})"
     r"|(?P<key>AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}))(?![A-Za-z0-9_])")
 ASSIGNED = re.compile(
     r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
-    r"(?P<secret>(?=[A-Za-z_./+-]*\d)[A-Za-z0-9_./+-]{8,128})", re.IGNORECASE | re.ASCII)
+    r"(?P<secret>(?=[A-Za-z_./+-]*\d)[A-Za-z0-9_./+-]{8,})", re.IGNORECASE | re.ASCII)
 HAS_DIGIT = re.compile(r"\d", re.ASCII)
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)
-DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
-LOCAL = re.compile(r"[\w.%+-]*\Z")
+DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 NAMES = re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.? (?P<name>[^\W\d_][\w'’-]+(?: [^\W\d_a-zа-яα-ω][\w'’-]+){0,2})")
 MAYBE_NAME = re.compile(r"(?:" + "|".join(TITLES) + r")\.? ")
 
@@ -104,22 +104,12 @@ class Surrogates:
 
     def word(self, text: str, alphabets: list[str], kind: str) -> str:
         """A word of the same format: every character stays in its alphabet, others stay."""
-        value, size, own = 0, 1, []
-        for c in text:
-            alphabet = next((a for a in alphabets if c in a), None)
-            own.append(alphabet)
-            if alphabet:
-                value = value * len(alphabet) + alphabet.index(c)
-                size *= len(alphabet)
+        own = [next((a for a in alphabets if c in a), None) for c in text]
+        levels = _levels([(a.index(c), len(a)) for c, a in zip(text, own) if a])
+        value, size = levels[-1][0]
         shape = "".join("-" if a is None else a[0] for a in own)
-        value = self.permute(value, size, f"{kind}:{shape}")
-        out = []
-        for c, alphabet in zip(reversed(text), reversed(own)):
-            if alphabet:
-                value, at = divmod(value, len(alphabet))
-                c = alphabet[at]
-            out.append(c)
-        return "".join(reversed(out))
+        places = iter(_digits(self.permute(value, size, f"{kind}:{shape}"), levels))
+        return "".join(a[next(places)] if a else c for c, a in zip(text, own))
 
     # --- kinds --------------------------------------------------------------------------
 
@@ -194,14 +184,20 @@ class Surrogates:
     def _find(self, kind: str, text: str) -> str:
         return getattr(self, kind)(text)
 
+    def surrogate(self, kind: str, text: str) -> str:
+        return (self.find if len(text) <= CACHED_CHARS else self._find)(kind, text)
+
     # --- texts --------------------------------------------------------------------------
 
     def entities(self, text: str) -> list[tuple[int, int, str]]:
-        """Start, end and kind of the entities, none inside another; the first found wins."""
+        """Start, end and kind of the entities, whole and none inside another: the first to start
+        wins, of those the longest, then the order of the kinds below."""
         found = []
         if "@" in text:
             for m in DOMAIN.finditer(text):
-                start = LOCAL.search(text, max(0, m.start() - 128), m.start()).start()
+                start = m.start()
+                while start and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
+                    start -= 1
                 while start < m.start() and text[start] in ".-+%":
                     start += 1
                 if start < m.start():
@@ -221,7 +217,7 @@ class Surrogates:
         if MAYBE_NAME.search(text):
             for m in NAMES.finditer(text):
                 found.append((m.start("name"), m.end("name"), "name"))
-        found.sort(key=lambda e: e[0])          # stable: kinds in the order above
+        found.sort(key=lambda e: (e[0], -e[1]))     # stable: kinds in the order above
         out, end = [], 0
         for e in found:
             if e[0] >= end:
@@ -233,13 +229,33 @@ class Surrogates:
         """The text with surrogates, and (kind, entity, surrogate) of each."""
         parts, done, pairs = [], 0, []
         for start, end, kind in self.entities(text):
-            surrogate = self.find(kind, text[start:end])
+            surrogate = self.surrogate(kind, text[start:end])
             parts += [text[done:start], surrogate]
             pairs.append((kind, text[start:end], surrogate))
             done = end
         return ("".join([*parts, text[done:]]), pairs) if pairs else (text, pairs)
 
 
+def _levels(pairs: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """(value, size) of the places of a number, then of ever larger groups of places, last of the
+    whole number; pairwise, so that a long word costs no square of its length."""
+    levels = [pairs or [(0, 1)]]
+    while len(levels[-1]) > 1:
+        low = levels[-1]
+        levels.append([(low[k][0] * low[k + 1][1] + low[k + 1][0], low[k][1] * low[k + 1][1])
+                       if k + 1 < len(low) else low[k] for k in range(0, len(low), 2)])
+    return levels
+
+
+def _digits(value: int, levels: list[list[tuple[int, int]]]) -> list[int]:
+    """The places of ``value`` in the sizes of ``levels``."""
+    values = [value]
+    for low in reversed(levels[:-1]):
+        values = [v for k, both in enumerate(values)
+                  for v in (divmod(both, low[2 * k + 1][1]) if 2 * k + 1 < len(low) else (both,))]
+    return values
+
+
 def _like(word: str, model: str) -> str:
     return "".join(c.upper() if m.isupper() else c for c, m in zip(word, model))
 

@@ -93,3 +93,40 @@ def test_scrub_and_collisions(spark):
     doubled = entities.limit(1).selectExpr("kind", "'other' entity", "surrogate").union(entities)
     assert pii.collisions(doubled).count() == 1
     assert pii.scrub(frame(spark, []), "k").count() == 0
+
+
+def test_long_entities_are_replaced_whole():
+    mixed = "aB3" * 100                                 # 300 characters, no hex
+    digits = "0123456789abcdef" * 16                    # 256 hex digits
+    local = "first.last-" * 30 + "end"
+    for text, want in [
+            (f"token={mixed} end", [("secret", mixed)]),
+            (f"run {digits} end", [("hex", digits)]),
+            (f"run {digits.upper()} end", [("hex", digits.upper())]),
+            (f"mail {local}@mail.example.com, now", [("email", f"{local}@mail.example.com")]),
+            (f"mail a@b.{'c' * 40}, now", [("email", f"a@b.{'c' * 40}")]),
+            (f"token={digits}.tail-2", [("secret", f"{digits}.tail-2")])]:
+        assert kinds(text) == want
+        changed, [(kind, entity, surrogate)] = OWN.replace(text)
+        assert changed == text.replace(entity, surrogate) and len(surrogate) == len(entity)
+        same = sum(a == b for a, b in zip(entity[:300], surrogate))
+        assert same < len(entity) / 4 or kind == "email"
+    # a surrogate of any length, without the cost of its square
+    assert len(OWN.replace("token=" + "q7" * 200_000)[0]) == 6 + 400_000
+
+
+def test_words_keep_the_surrogates_of_mixed_radix_numbers():
+    for text in ("", "--", "a", "a1", "Zz-09 qQ", "x" * 33):
+        own = [next((a for a in pii.PLAIN if c in a), None) for c in text]
+        value, size = 0, 1
+        for c, a in zip(text, own):
+            if a:
+                value, size = value * len(a) + a.index(c), size * len(a)
+        value = OWN.permute(value, size, "t:" + "".join("-" if a is None else a[0] for a in own))
+        out = []
+        for c, a in zip(reversed(text), reversed(own)):
+            if a:
+                value, at = divmod(value, len(a))
+                c = a[at]
+            out.append(c)
+        assert OWN.word(text, pii.PLAIN, "t") == "".join(reversed(out))
