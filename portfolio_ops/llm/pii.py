@@ -6,6 +6,9 @@ the same surrogate, in every document and without any table (coreference), two e
 format never get the same one (distinctness), and the surrogate differs from the entity. Where
 a domain has rules (check digits, names in use), the permutation is walked until the rule
 holds, which keeps it one to one. ``collisions`` checks that over a corpus.
+
+A name is found after a title; its further mentions in the same text, in full or by the last
+word, get the same surrogate.
 """
 
 from __future__ import annotations
@@ -38,6 +41,12 @@ GIVEN = {
 TITLES = ["Mr", "Mrs", "Ms", "Miss", "Mx", "Sir", "Madam", "Dr", "Prof", "Herr", "Frau", "Monsieur",
           "Madame", "Mme", "Mlle", "Señor", "Señora", "Señorita", "Sr", "Sra", "Don", "Doña",
           "Господин", "Госпожа", "Κύριος", "Κυρία"]
+ACADEMIC = ["Dr", "Prof"]   # may follow another title
+# fixed values: words that open a sentence after 'Sir.' or 'Miss'; not carried on as names
+OPENERS = frozenset((
+    "The This That These Those There Then You Your We Our He His She It Its They Their And But Or If In On At "
+    "To For From With What When Where Who Why How Yes No Not As Is Are Was Were Have Has "
+    "Der Die Das Und Ich Sie Er Es Wir Les Et Je Vous Il Elle Nous El Los Las").split() + TITLES)
 # fixed values: letters of a script that may stand for each other
 LETTERS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
            "áéíóú", "àèìòù", "âêîôû", "äëïöü", "ãñõ", "çß", "ÁÉÍÓÚ", "ÄËÏÖÜ", "ÇÑ",
@@ -64,7 +73,9 @@ ASSIGNED = re.compile(
 HAS_DIGIT = re.compile(r"\d", re.ASCII)
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)
 DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
-NAMES = re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.? (?P<name>[^\W\d_][\w'’-]+(?: [^\W\d_a-zа-яα-ω][\w'’-]+){0,2})")
+NAMES = re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.? (?:(?:" + "|".join(ACADEMIC)
+                   + r")\.? )*+(?P<name>[^\W\d_][\w'’-]+(?: [^\W\d_a-zа-яα-ω][\w'’-]+){0,2})")
+RUN = re.compile(r"\w+")
 MAYBE_NAME = re.compile(r"(?:" + "|".join(TITLES) + r")\.? ")
 
 
@@ -215,8 +226,8 @@ class Surrogates:
             if m.lastgroup != "phone" or 7 <= sum(map(str.isdigit, m.group())) <= 15:
                 found.append((m.start(), m.end(), m.lastgroup))
         if MAYBE_NAME.search(text):
-            for m in NAMES.finditer(text):
-                found.append((m.start("name"), m.end("name"), "name"))
+            named = [m.span("name") for m in NAMES.finditer(text)]
+            found += [(a, b, "name") for a, b in [*named, *_mentions(text, {text[a:b] for a, b in named})]]
         found.sort(key=lambda e: (e[0], -e[1]))     # stable: kinds in the order above
         out, end = [], 0
         for e in found:
@@ -236,6 +247,33 @@ class Surrogates:
         return ("".join([*parts, text[done:]]), pairs) if pairs else (text, pairs)
 
 
+def _mentions(text: str, names: set[str]) -> list[tuple[int, int]]:
+    """Spans of the whole-word occurrences of ``names`` and of their last words, longest first.
+
+    A single word is left out when it starts in lower case ('Mr and Mrs') or is one of
+    ``OPENERS``. Cost is that of the text, however many names there are.
+    """
+    wanted = set()
+    for name in names:
+        words = re.sub(r"['’]s?(?!\w)|-+(?!\w)", "", name).split()
+        wanted.add(" ".join(words))
+        wanted.add(words[-1])
+    wanted = {w for w in wanted if " " in w or not (w[0].islower() or w in OPENERS)}
+    sizes: dict[str, set[int]] = {}     # first run of a name: numbers of runs
+    for w in wanted:
+        runs = RUN.findall(w)
+        sizes.setdefault(runs[0], set()).add(len(runs))
+    more = {n: re.compile(r"\w++(?:\W++\w++){%d}" % (n - 1)) for own in sizes.values() for n in own}
+    out = []
+    for m in RUN.finditer(text) if sizes else ():
+        for n in sorted(sizes.get(m.group(), ()), reverse=True):
+            whole = more[n].match(text, m.start())
+            if whole and " ".join(whole.group().split()) in wanted:
+                out.append(whole.span())
+                break
+    return out
+
+
 def _levels(pairs: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     """(value, size) of the places of a number, then of ever larger groups of places, last of the
     whole number; pairwise, so that a long word costs no square of its length."""

@@ -130,3 +130,28 @@ def test_words_keep_the_surrogates_of_mixed_radix_numbers():
                 c = a[at]
             out.append(c)
         assert OWN.word(text, pii.PLAIN, "t") == "".join(reversed(out))
+
+
+def test_a_detected_name_is_replaced_in_the_whole_text():
+    text = ("Weber, first. Dr. Anna Weber came. Anna Weber left; Weber wrote, Anna\nWeber's and WEBER-Weber. "
+            "Webers Weberei. Herr Prof. Dr. Karl O'Neil-Smith and Miss Ng’s dog; O'Neil-Smith met Ng.")
+    changed, pairs = OWN.replace(text)
+    assert not re.search(r"\bWeber\b|O'Neil|Smith|\bNg\b", changed) and "Webers Weberei." in changed
+    first, last = re.search(r"Dr\. (\w+) (\w+) came", changed).groups()
+    assert changed.startswith(f"{last}, first. Dr. {first} {last} came. {first} {last} left; {last} wrote, "
+                              f"{first}\n{last}'s and WEBER-{last}. ")
+    assert re.search(r"Karl|Prof\. Dr\.", changed).group() == "Prof. Dr."
+    assert changed.count(re.search(r"dog; (\S+) met", changed).group(1)) == 2
+    assert len([p for p in pairs if p[0] == "name"]) == 10
+    # what follows a title without being a name is not carried on
+    text = "Mr and Mrs Weber; Weber and Ng. Miss you, you. Yes, Sir. The man, The dog."
+    changed, _ = OWN.replace(text)
+    assert "Weber" not in changed and " and Ng. " in changed and ", you." in changed and "The dog." in changed
+    assert OWN.replace("Weber alone")[0] == "Weber alone"
+
+
+def test_many_names_in_one_text():
+    names = ["Anna " + "".join(chr(97 + int(d)) for d in str(k)).capitalize() + "x" for k in range(5_000)]
+    text = ". ".join("Dr. " + n for n in names) + ". " + ". ".join(names)
+    changed, pairs = OWN.replace(text)
+    assert len(pairs) == 10_000 and len(set(pairs)) == 5_000
