@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +12,10 @@ from portfolio_ops.analogues.registry import Tables, flat, query
 from portfolio_ops.operators.vault import satellite_as_of
 from portfolio_ops.plans import vault_model
 from portfolio_ops.operators.migrate import migrate
+from portfolio_ops.plans.publish import publish_vault
 from portfolio_ops.plans.vault_load import load_migrated, load_table, load_vault
-from portfolio_ops.session import stage
-from portfolio_ops.sources.snapshot import nullable
+from portfolio_ops.session import shared_dir, stage
+from portfolio_ops.sources.snapshot import SnapshotTable, nullable
 
 
 def _empty(t: Tables, name: str) -> DataFrame:
@@ -152,8 +156,8 @@ def migrated_load(t: Tables) -> DataFrame:
     name, source = "SAT_POLICY_DETAIL_RAW", stage(premium_source(t), "versions")
     stored = t.spark.createDataFrame([], nullable(vault_model.migrated_schema(name)))
     early = source.filter(F.col("LOAD_DATETIME") < F.lit(FIRST_LOAD).cast("timestamp_ntz"))
-    first = stage(load_migrated(name, stored, early, F.col("LOAD_DATETIME"), F.lit(7)), "satellite")
-    return flat(load_migrated(name, first, source, F.col("LOAD_DATETIME"), F.lit(8)).select(*_MIGRATED))
+    first = stage(load_migrated(name, stored, early, F.col("LOAD_DATETIME"), F.lit(7)).rows, "satellite")
+    return flat(load_migrated(name, first, source, F.col("LOAD_DATETIME"), F.lit(8)).rows.select(*_MIGRATED))
 
 
 @query("vault_load_all", """
@@ -175,8 +179,35 @@ def load_all(t: Tables) -> DataFrame:
                "LNK_POLICY_POLICY_LINE": _technical(keyed, "o_orderdate"),
                "SAT_POLICY_DETAIL_RAW": premium_source(t)}
     loaded = load_vault({n: _empty(t, n) for n in sources}, sources)
-    counts = [df.select(F.lit(n).alias("table_name")) for n, df in loaded.items()]
+    counts = [loaded[n].select(F.lit(n).alias("table_name")) for n in sources]
     whole = counts[0]
     for part in counts[1:]:
         whole = whole.unionByName(part)
     return whole.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("vault_late_rows", f"""
+WITH d AS (SELECT 'C' || o_custkey AS nk, o_orderdate AS seen, max(o_orderstatus) AS st FROM orders GROUP BY 1, 2),
+s AS (SELECT *, seen < TIMESTAMP '1995-03-01' AND max(seen) OVER (PARTITION BY nk) >= TIMESTAMP '1995-03-01' AS late FROM d),
+v AS (SELECT * FROM s WHERE NOT late QUALIFY st IS DISTINCT FROM lag(st) OVER (PARTITION BY nk ORDER BY seen))
+SELECT 'loaded' AS place, {_md5("nk")} AS "HUB_POLICY_HK", strftime(seen, '%Y-%m-%d') AS "LOAD_DATETIME", st AS "POLICY_STATUS_NAME" FROM v
+UNION ALL SELECT 'late', {_md5("nk")}, strftime(seen, '%Y-%m-%d'), st FROM s WHERE late""")
+def late(t: Tables) -> DataFrame:
+    """Rows from a date on are published first, then the whole source twice: what is older than a
+    stored version lies in the table of late rows, once."""
+    from portfolio_ops.operators.vault import with_hub_key
+    name = "SAT_POLICY_DETAIL_RAW"
+    late_name = vault_model.late_name(name)
+    rows = premium_source(t).withColumn("POLICY_REFERENCE_NK", F.concat(F.lit("C"), "o_custkey"))
+    source = stage(with_hub_key(rows, ["POLICY_REFERENCE_NK"], "HUB_POLICY_HK"), "versions")
+    folder = os.path.join(shared_dir(t.spark), "published", uuid.uuid4().hex)
+    schemas = {"HUB_POLICY": vault_model.schema("HUB_POLICY"), name: vault_model.schema(name),
+               late_name: vault_model.late_schema(name)}
+    targets = {n: SnapshotTable(t.spark, f"{folder}/{n}", nullable(s), f"{folder}/log") for n, s in schemas.items()}
+    recent = source.filter(F.col("LOAD_DATETIME") >= F.lit("1995-03-01").cast("timestamp_ntz"))
+    for batch in (recent, source, source):
+        publish_vault(targets, {"HUB_POLICY": batch, name: batch})
+    columns = ["HUB_POLICY_HK", "LOAD_DATETIME", "POLICY_STATUS_NAME"]
+    loaded, held = (targets[n].read().select(F.lit(place).alias("place"), *columns)
+                    for n, place in ((name, "loaded"), (late_name, "late")))
+    return flat(loaded.unionByName(held))

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from portfolio_ops.operators.contract import Contract
+from portfolio_ops.operators.contract import Contract, ContractViolation
 from portfolio_ops.plans import vault_model
 from portfolio_ops.plans.cession import cession_multiplier
 from portfolio_ops.plans.claim_binder import claim_binder_pairs
@@ -17,7 +17,7 @@ from portfolio_ops.plans.homeowners import homeowners_load
 from portfolio_ops.plans.key_industry import key_industry
 from portfolio_ops.plans.mapping_override import land_mapping_override
 from portfolio_ops.plans.policy_delta import PolicyInputs, policy_delta
-from portfolio_ops.plans.vault_load import load_table
+from portfolio_ops.plans.vault_load import late_for, load_table
 from portfolio_ops.plans.vault_model import HUBS, LINKS, SATELLITES, Satellite
 from portfolio_ops.schemas import LEDGER, LEDGER_KEYS
 from portfolio_ops.session import stage
@@ -76,7 +76,13 @@ def publish_vault(targets: Mapping[str, SnapshotTable],
                   sources: Mapping[str, DataFrame]) -> list[LoadResult]:
     """Hubs and links grow by appends, satellites are replaced; each is checked against its
     contract, with stored and new rows of its parents. All tables are written and checked
-    before the first is switched; with one log they switch at once."""
+    before the first is switched; with one log they switch at once.
+
+    Satellite rows that come too late are appended to the target ``vault_model.late_name``, those
+    that it has not yet; its results follow those of the tables. Without that target they fail
+    the load.
+    """
+    late_loads: list[Load] = []
     loads: dict[str, Load] = {}
 
     def with_new(name: str) -> DataFrame:
@@ -92,4 +98,11 @@ def publish_vault(targets: Mapping[str, SnapshotTable],
         parents = {fk.table: with_new(fk.table) for fk in contract.foreign.values()}
         mode = "replace" if isinstance(table, Satellite) else "append"
         loads[table.name] = Load(target, rows, contract, parents, mode)
-    return publish_together(list(loads.values()))
+        if isinstance(table, Satellite):
+            late = late_for(table.name, target.read(), sources[table.name])
+            kept = targets.get(vault_model.late_name(table.name))
+            if kept is not None:
+                late_loads.append(Load(kept, late.subtract(kept.read()), mode="append"))
+            elif found := late.count():
+                raise ContractViolation(f"{table.name} late rows: {found}")
+    return publish_together([*loads.values(), *late_loads])

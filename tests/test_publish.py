@@ -86,3 +86,28 @@ def test_quarantine_keeps_the_stored_rows(spark, make, tmp_path, inputs):  # noq
     plain = [c for c in same if c not in ("process_id", "row_hash_key", "created_by", "created_from", "source_name")]
     assert sorted(map(repr, after.select(plain).collect())) == sorted(map(repr, before.select(plain).collect()))
     assert [r["settlement_currency"] for r in aside.read().collect()] == ["XXX"]
+
+
+def test_vault_late_rows_are_published_beside_the_satellite(spark, make, tmp_path):
+    sat = "SAT_POLICY_DETAIL_RAW"
+    schemas = {n: vm.schema(n) for n in vm.TABLES} | {vm.late_name(sat): vm.late_schema(sat)}
+    targets = {n: SnapshotTable(spark, str(tmp_path / n), nullable(schema), str(tmp_path / "log"))
+               for n, schema in schemas.items()}
+    tech = dict(RECORD_SOURCE_NAME="f", SOURCE_SYSTEM_NAME="crm")
+    hub = make(nullable(vm.schema("HUB_POLICY")), [dict(tech, POLICY_REFERENCE_NK="p", LOAD_DATETIME=dt.datetime(2024, 1, 1))])
+    publish.publish_vault(targets, {"HUB_POLICY": hub})
+    key = targets["HUB_POLICY"].read().first()["HUB_POLICY_HK"]
+
+    def batch(*versions):
+        return make(nullable(vm.schema(sat)), [
+            dict(tech, HUB_POLICY_HK=key, PROCESS_ID=D(1), POLICY_STATUS_NAME=v,
+                 LOAD_DATETIME=dt.datetime(2024, 1, d) if d else None) for d, v in versions])
+    publish.publish_vault(targets, {sat: batch((3, "b"))})
+    again = batch((2, "a"), (None, "n"), (3, "b"), (4, "c"))
+    assert [r.rows_inserted for r in publish.publish_vault(targets, {sat: again})] == [2, 2]
+    assert [r.rows_inserted for r in publish.publish_vault(targets, {sat: again})] == [2, 0]
+    late = targets[vm.late_name(sat)].read().collect()
+    assert sorted(r["POLICY_STATUS_NAME"] for r in late) == ["a", "n"]
+    bare = {n: t for n, t in targets.items() if n != vm.late_name(sat)}
+    with pytest.raises(ContractViolation, match="late rows: 2"):
+        publish.publish_vault(bare, {sat: again})
