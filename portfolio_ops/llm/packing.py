@@ -125,8 +125,8 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = 1024) -> DataFra
 def pack(docs: DataFrame, path: str, capacity: int = 1024, group_docs: int = 4096) -> DataFrame:
     """Sequences of at most ``capacity`` ids, first-fit decreasing in random groups.
 
-    Documents are dealt by hash into groups of about ``group_docs``; more documents make more
-    groups, never larger ones. A group numbers its sequences from the group number times
+    The pieces of all documents are dealt by hash, one group for ``group_docs`` documents; more
+    documents make more groups, longer ones larger groups. A group numbers its sequences from the group number times
     2**32. Returns ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
     Ties go by ``doc_id`` and ``start``. A null or repeated ``doc_id`` is passed through:
     each input row is a document of its own. No documents give no rows.
