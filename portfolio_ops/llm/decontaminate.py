@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ def word_numbers(text: str, find, slice_bytes: int = 1 << 20) -> np.ndarray:
         stop = raw.find(b" ", start + slice_bytes)
         stop = len(raw) if stop < 0 else stop
         own = raw[start:stop].split()
-        out.append(np.fromiter((find(w, BREAK) for w in own), np.int64, len(own)))
+        out.append(np.fromiter(map(find, own, repeat(BREAK)), np.int64, len(own)))
         start = stop
     return np.concatenate(out)
 
@@ -102,26 +103,24 @@ def suffix_order(values: np.ndarray) -> np.ndarray:
     """Suffix array by doubling; after each round only places with an equal rank are sorted."""
     n = len(values)
     order = np.argsort(values, kind="stable")
-    fresh = changes(values[order])
     rank = np.empty(n, np.int64)
-    heads = np.flatnonzero(fresh)
-    rank[order] = np.repeat(heads, np.diff(np.append(heads, n)))
+    places = np.arange(n)  # places of the order that are still open, and where their groups begin
+    fresh = changes(values[order])
     step = 1
     while True:
-        sizes = np.diff(np.append(heads, n))
-        open_ = np.flatnonzero(np.repeat(sizes > 1, sizes))  # places of the order
-        if not len(open_):
+        heads = np.flatnonzero(fresh)
+        sizes = np.diff(np.append(heads, len(places)))
+        rank[order[places]] = np.repeat(places[heads], sizes)
+        places = places[np.repeat(sizes > 1, sizes)]
+        if not len(places):
             return order
-        suffixes = order[open_]
+        suffixes = order[places]
         behind = suffixes + step
         second = np.where(behind < n, rank[np.minimum(behind, n - 1)], -1)
         first = rank[suffixes]
         again = np.lexsort((second, first))
-        order[open_] = suffixes[again]
-        new = changes(first[again], second[again])
-        number = np.maximum.accumulate(np.where(new, open_, 0))
-        rank[order[open_]] = number
-        heads = np.union1d(heads, open_[new])
+        order[places] = suffixes[again]
+        fresh = changes(first[again], second[again])
         step *= 2
 
 
