@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from portfolio_ops.llm.text import PieceCache, Pieces, chunks, id_and_text
+from portfolio_ops.llm.text import Growing, PieceCache, Pieces, chunks, id_and_text
 
 
 def byte_characters() -> list[str]:
@@ -134,14 +134,17 @@ class Coder:
 
     def __init__(self, path: str):
         self.vocab = vocabulary(path)
-        self.cache = PieceCache(self._pieces)
+        self.cache = PieceCache(self._pieces, self._forget, 500_000)
+        self._forget()
 
-    def _pieces(self, strings: list[str]) -> list[tuple[int, str, str]]:
-        out = []
-        for s in strings:
-            ids = encode(self.vocab.symbols(s), self.vocab)
-            out.append((len(ids), " ".join(map(str, ids)), self.decode(ids)))
-        return out
+    def _forget(self) -> None:
+        self.counts, self.ids, self.decoded = Growing(np.int64), Growing(object), Growing(object)
+
+    def _pieces(self, strings: list[str]) -> None:
+        found = [encode(self.vocab.symbols(s), self.vocab) for s in strings]
+        self.counts.extend([len(ids) for ids in found])
+        self.ids.extend([" ".join(map(str, ids)) for ids in found])
+        self.decoded.extend([self.decode(ids) for ids in found])
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings one after another, parted by a space as the file has no decoder."""
@@ -152,10 +155,7 @@ class Coder:
         vocab = self.vocab
         parts, layout = vocab.segments(texts)
         pieces = Pieces(parts, vocab.spaced)
-        found = self.cache(pieces)
-        counts = np.array([f[0] for f in found], np.int64)
-        ids = np.array([f[1] for f in found], object)
-        decoded = np.array([f[2] for f in found], object)
+        number = self.cache(pieces.strings)
         bounds = pieces.bounds()
         for row in layout:
             n, id_parts, text_parts = 0, [], []
@@ -165,11 +165,11 @@ class Coder:
                     id_parts.append(str(value))
                     text_parts.append(vocab.strings[value])
                     continue
-                span = pieces.number[bounds[value]:bounds[value + 1]]
+                span = number[bounds[value]:bounds[value + 1]]
                 if len(span):
-                    n += int(counts[span].sum())
-                    id_parts.extend(ids[span])
-                    text_parts.extend(decoded[span])
+                    n += int(self.counts[span].sum())
+                    id_parts.extend(self.ids[span])
+                    text_parts.extend(self.decoded[span])
             yield n, " ".join(id_parts), " ".join(text_parts)
 
 
@@ -239,14 +239,15 @@ class PairTable:
 
 
 def merge_synchronously(flat: np.ndarray, owner: np.ndarray, n: int, table: PairTable,
-                        all_places: bool = True) -> np.ndarray:
+                        all_places: bool = True, finished: list | None = None) -> np.ndarray:
     """Symbols left of each of ``n`` sequences.
 
     ``flat`` holds the sequences one after another, ``owner`` the sequence of each symbol. A
     step finds the lowest rank of every sequence and merges its pair at every place at once,
     from the left where places overlap (``all_places``; else at the first place only). That
     equals merging one by one as long as a pair has a higher rank than the pairs that made
-    its parts. Sequences without a pair leave the arrays.
+    its parts. Sequences without a pair leave the arrays; ``finished`` takes them as pairs
+    (owner, symbols).
     """
     left_over = np.bincount(owner, minlength=n).astype(np.int64)
     rank, made = _ranks(flat, owner, table)
@@ -256,6 +257,8 @@ def merge_synchronously(flat: np.ndarray, owner: np.ndarray, n: int, table: Pair
         lowest = np.minimum.reduceat(rank, heads)
         live = np.repeat(lowest < NO_RANK, sizes)
         if not live.all():
+            if finished is not None:
+                finished.append((owner[~live], flat[~live]))
             flat, owner, rank, made = flat[live], owner[live], rank[live], made[live]
             lowest, sizes = lowest[lowest < NO_RANK], sizes[lowest < NO_RANK]
             if not len(flat):
@@ -291,44 +294,64 @@ def _ranks(flat, owner, table):
     return rank, made
 
 
+BATCH_BYTES = 1 << 20
+
+
+def merged_batches(strings: list[str], vocab: Vocabulary, table: PairTable, symbols: bool = False
+                   ) -> Iterator[tuple[np.ndarray | None, np.ndarray]]:
+    """Rank-synchronous merging of pieces, about ``BATCH_BYTES`` at a time: the symbols of all
+    pieces one after another (None unless ``symbols``) and the number of each."""
+    def merge(raws: list[bytes]):
+        values = np.frombuffer(b"".join(raws), np.uint8)
+        sizes = np.array([len(r) for r in raws], np.int64)
+        flat = vocab.first[values]
+        ends = np.cumsum(sizes) - 1
+        flat[ends] = vocab.last[values[ends]]
+        owner = np.repeat(np.arange(len(raws)), sizes)
+        finished: list | None = [] if symbols else None
+        counts = merge_synchronously(flat, owner, len(raws), table, vocab.ordered, finished)
+        if not symbols:
+            return None, counts
+        owners = np.concatenate([f[0] for f in finished])
+        return np.concatenate([f[1] for f in finished])[np.argsort(owners, kind="stable")], counts
+
+    batch, held = [], 0
+    for s in strings:
+        raw = s.encode("utf-8")
+        batch.append(raw)
+        held += len(raw)
+        if held >= BATCH_BYTES:
+            yield merge(batch)
+            batch, held = [], 0
+    if batch:
+        yield merge(batch)
+
+
 class Counter:
     """Token counts of chunks of texts."""
 
-    BATCH_BYTES = 1 << 20
-
     def __init__(self, path: str):
         self.vocab = vocabulary(path)
         self.table = PairTable(self.vocab)
-        self.cache = PieceCache(self.count_pieces)
+        self.cache = PieceCache(self._pieces, self._forget)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.counts = Growing(np.int64)
+
+    def _pieces(self, strings: list[str]) -> None:
+        for _, counts in merged_batches(strings, self.vocab, self.table):
+            self.counts.extend(counts)
 
     def count_pieces(self, strings: list[str]) -> list[int]:
-        out: list[int] = []
-        batch, held = [], 0
-        for s in strings:
-            raw = s.encode("utf-8")
-            batch.append(raw)
-            held += len(raw)
-            if held >= self.BATCH_BYTES:
-                out += self._batch(batch)
-                batch, held = [], 0
-        return out + self._batch(batch) if batch else out
-
-    def _batch(self, raws: list[bytes]) -> list[int]:
-        values = np.frombuffer(b"".join(raws), np.uint8)
-        sizes = np.array([len(r) for r in raws], np.int64)
-        flat = self.vocab.first[values]
-        ends = np.cumsum(sizes) - 1
-        flat[ends] = self.vocab.last[values[ends]]
-        owner = np.repeat(np.arange(len(raws)), sizes)
-        return merge_synchronously(flat, owner, len(raws), self.table,
-                                   self.vocab.ordered).tolist()
+        return [n for _, counts in merged_batches(strings, self.vocab, self.table)
+                for n in counts.tolist()]
 
     def texts(self, texts: list[str]) -> np.ndarray:
         parts, layout = self.vocab.segments(texts)
         pieces = Pieces(parts, self.vocab.spaced)
-        counts = np.array(self.cache(pieces), np.int64)
-        sums = np.concatenate([[0], np.cumsum(counts[pieces.number])]) if len(counts) \
-            else np.zeros(1, np.int64)
+        number = self.cache(pieces.strings)
+        sums = np.concatenate([[0], np.cumsum(self.counts[number])])
         each = np.diff(sums[pieces.bounds()])
         return np.array([sum(1 if kind == "id" else int(each[v]) for kind, v in row)
                          for row in layout], np.int64)

@@ -7,7 +7,6 @@ length; their probabilities are averaged by the bytes they hold.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +23,11 @@ WIDTHS = (2, 3, 4)
 EMBEDDING, FILTERS = 8, 16
 BATCH = 64
 UNKNOWN = "und"
-HAS_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Numbers like ``½`` or ``Ⅷ`` and marks are no letters."""
+    return any(map(str.isalpha, text))
 
 
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,7 +114,7 @@ class LanguageModel:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and probability of each text; without a letter ``und`` and 0."""
-        readable = [k for k, t in enumerate(texts) if HAS_LETTER.search(t)]
+        readable = [k for k, t in enumerate(texts) if has_letter(t)]
         names, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if readable and self.languages:
             grid, owner, held = windows([texts[k] for k in readable])
@@ -172,7 +175,7 @@ def train(docs: DataFrame, sample_docs: int = 4000, passage_chars: int = 1500) -
         "doc_id", "lang", passage(F.col("text"), F.col("doc_id"), passage_chars).alias("text")
     ).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"], r["lang"]))
-    rows = [r for r in rows if HAS_LETTER.search(r["text"])]
+    rows = [r for r in rows if has_letter(r["text"])]
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

@@ -8,6 +8,7 @@ become candidates, and weighted Jaccard similarity decides.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -134,7 +135,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return mix(parts.sum(axis=2) + np.arange(BANDS, dtype=np.uint64) * SAMPLE[-1])
 
 
-SKETCH = "doc_id long, node long, bands array<long>, keys binary, tf binary, df binary"
+SKETCH = "doc_id long, digest binary, node long, bands array<long>, keys binary, tf binary, df binary"
 
 
 def sketch_batch(ids: np.ndarray, texts: list[str], answers: pa.Table, count: int, n_docs: int,
@@ -175,6 +176,7 @@ def sketch_batch(ids: np.ndarray, texts: list[str], answers: pa.Table, count: in
             packed["keys"][at], packed["tf"][at], packed["df"][at] = row
         start = stop
     return pa.table({"doc_id": pa.array(ids, mask=ids == shared.NULL_ID),
+                     "digest": pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
                      "node": pa.array(node, pa.int64()),
                      "bands": pa.array(bands, pa.list_(pa.int64())),
                      **{k: pa.array(v, pa.binary()) for k, v in packed.items()}})
@@ -221,6 +223,13 @@ def verify(table: pa.Table, n_docs: int, similarity: float) -> pa.Table:
     return pa.table({"a": node[linked], "b": root[linked]})
 
 
+@dataclass(frozen=True)
+class Classes:
+    """Rows with shingles and their class (the smallest node of it), and rows without shingles."""
+    placed: DataFrame   # doc_id, digest, class
+    alone: DataFrame    # doc_id, digest
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, batch_bytes: int = BATCH_BYTES,
                     block: int = 512) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, class_id, kept``.
@@ -235,6 +244,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, batch_bytes
     class but does not name it (alone, its class is null and it is kept). Rows that repeat an
     id share its decision. Other columns are ignored; no rows give no rows.
     """
+    found = document_classes(docs, similarity, batch_bytes, block)
+    named = found.placed.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    alone = found.alone.select("doc_id", F.col("doc_id").alias("class_id"))
+    return found.placed.join(named, "class").select("doc_id", "class_id").union(alone) \
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"),
+                                       F.col("class_id").isNull()))
+
+
+def document_classes(docs: DataFrame, similarity: float = SIMILARITY, batch_bytes: int = BATCH_BYTES,
+                     block: int = 512) -> Classes:
     rows = id_and_text(docs)
     n_docs, total = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     batches = max(1, -(-(total or 0) // batch_bytes))
@@ -269,20 +288,30 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, batch_bytes
     links = dealt.groupBy("component", "i", "j").applyInArrow(
         lambda table: verify(table, n_docs, similarity), "a long, b long")
     classes = components(links)
-    placed = members.select("doc_id", "node").join(classes, "node", "left") \
-        .select("doc_id", F.coalesce("component", "node").alias("class"))
-    named = placed.groupBy("class").agg(F.min("doc_id").alias("class_id"))
-    alone = sketches.where("node is null").select("doc_id", F.col("doc_id").alias("class_id"))
-    return placed.join(named, "class").select("doc_id", "class_id").union(alone) \
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"),
-                                       F.col("class_id").isNull()))
+    placed = members.select("doc_id", "digest", "node").join(classes, "node", "left") \
+        .select("doc_id", "digest", F.coalesce("component", "node").alias("class"))
+    return Classes(placed, sketches.where("node is null").select("doc_id", "digest"))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each class the smallest ``doc_id`` stays.
+    """The rows of ``docs`` without near-duplicates: of each class one row stays, that of the smallest
+    ``doc_id`` (a null id is larger than every id), of those the smallest digest of the text.
 
-    All columns are kept. Rows without an id stay; rows that repeat an id share its decision.
+    Rows are told apart by id and text, so a row with another text under the same id is judged
+    on its own. Of rows that repeat both one stays, unless the text has no words. All columns are kept.
     """
-    gone = near_duplicates(docs, similarity).where("not kept and doc_id is not null") \
-        .select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    placed = document_classes(docs, similarity).placed
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    best = placed.groupBy("class").agg(F.min(rank).alias("best"))
+    gone = placed.join(best, "class").where(~rank.eqNullSafe(F.col("best"))) \
+        .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    repeated = placed.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+        .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    place = dict(zip(docs.columns, names))
+    rows = docs.toDF(*names).withColumn("_own", F.unhex(F.sha2(
+        F.coalesce(place["text"], F.lit("")), 256)))
+    same = F.col(place["doc_id"]).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
+    left = rows.join(gone, same, "left_anti")
+    once = left.join(repeated, same, "left_semi").dropDuplicates([place["doc_id"], "_own"])
+    return left.join(repeated, same, "left_anti").unionByName(once).select(*names).toDF(*docs.columns)

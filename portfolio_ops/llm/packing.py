@@ -3,53 +3,52 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portfolio_ops.llm.bpe import vocabulary
-from portfolio_ops.llm.text import PieceCache, Pieces, chunks, id_and_text
+from portfolio_ops.llm.bpe import PairTable, merged_batches, vocabulary
+from portfolio_ops.llm.text import Growing, PieceCache, Pieces, chunks, id_and_text
+from portfolio_ops.session import stage
 
 END_ID = 0
 
 
-class LibraryCoder:
-    """Ids by the ``tokenizers`` library, asked once for each distinct piece of a worker.
+class BulkCoder:
+    """Ids as the ``tokenizers`` library gives them, made in bulk for the new pieces of a chunk.
 
     Merges never cross a piece, so the ids of a text are those of its pieces in order.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.vocab, self.model = vocabulary(path), Tokenizer.from_file(path)
-        self.model.no_truncation()
-        self.model.no_padding()
-        self.cache = PieceCache(self._pieces)
-
-    def _pieces(self, strings: list[str]) -> list[bytes]:
-        found = self.model.encode_batch_fast(strings, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        flat = np.array(list(chain.from_iterable(ids)), "<u4").tobytes()
-        ends = np.cumsum([4 * len(x) for x in ids]).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
-
-    def texts(self, texts: list[str]):
+        self.vocab = vocabulary(path)
+        self.table = PairTable(self.vocab)
+        self.cache = PieceCache(self._pieces, self._forget)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids, self.heads, self.sizes = Growing(np.uint32), Growing(np.int64), Growing(np.int64)
+
+    def _pieces(self, strings: list[str]) -> None:
+        for ids, counts in merged_batches(strings, self.vocab, self.table, symbols=True):
+            self.heads.extend(self.ids.size + np.cumsum(counts) - counts)
+            self.sizes.extend(counts)
+            self.ids.extend(ids)
+
+    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
         parts, layout = self.vocab.segments(texts)
         pieces = Pieces(parts, self.vocab.spaced)
-        found = self.cache(pieces)
-        sizes = np.array([len(x) for x in found], np.int64) // 4
-        flat = np.frombuffer(b"".join(found), "<u4")
-        heads = np.cumsum(sizes) - sizes
-        counts = sizes[pieces.number]
+        number = self.cache(pieces.strings)
+        counts = self.sizes[number]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        shift = np.repeat(heads[pieces.number] - (ends - counts), counts)
-        ids = flat[np.arange(total) + shift]
+        ids = self.ids[np.arange(total) + np.repeat(self.heads[number] - (ends - counts), counts)]
         bounds = np.concatenate([[0], ends])[pieces.bounds()]
         for row in layout:
             yield np.concatenate([np.array([v], np.uint32) if kind == "id"
@@ -57,8 +56,8 @@ class LibraryCoder:
 
 
 @lru_cache(maxsize=2)
-def library_coder(path: str) -> LibraryCoder:
-    return LibraryCoder(path)
+def bulk_coder(path: str) -> BulkCoder:
+    return BulkCoder(path)
 
 
 class Tournament:
@@ -99,11 +98,15 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[tuple[int, int
     return [tree.place(size, capacity) for size in sizes]
 
 
+PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+
+
 def document_pieces(docs: DataFrame, path: str, capacity: int = 1024) -> DataFrame:
-    """Each document's ids and the end id cut every ``capacity`` ids: ``doc_id, start, length,
-    ids_crc32, doc_tokens``. A null or empty text is one piece, the end id."""
+    """Each document's ids and the end id cut every ``capacity`` ids: ``task, place`` (of the
+    document), ``doc_id, start, length, ids_crc32, doc_tokens``. A null or empty text is one
+    piece, the end id."""
     def run(batches):
-        own = library_coder(path)
+        own, task, place = bulk_coder(path), TaskContext.get().partitionId(), 0
         for doc_ids, texts in chunks(batches):
             rows, out = [], []
             for k, ids in enumerate(own.texts(texts)):
@@ -114,37 +117,38 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = 1024) -> DataFra
                     rows.append(k)
                     out.append((start, len(part), zlib.crc32(part.tobytes()), n))
             columns = np.array(out, np.int64).reshape(-1, 4)
+            at = np.array(rows, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [doc_ids.take(pa.array(rows, pa.int64())),
+                [pa.array(np.full(len(at), task)), pa.array(at + place), doc_ids.take(pa.array(at)),
                  *(pa.array(np.ascontiguousarray(c)) for c in columns.T)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-    return id_and_text(docs).mapInArrow(
-        run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+                names=["task", "place", "doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            place += len(texts)
+    return id_and_text(docs).mapInArrow(run, f"task long, place long, {PIECE}")
 
 
-def pack(docs: DataFrame, path: str, capacity: int = 1024, group_docs: int = 4096) -> DataFrame:
-    """Sequences of at most ``capacity`` ids, first-fit decreasing in random groups.
+def pack(docs: DataFrame, path: str, capacity: int = 1024, group_pieces: int = 8192) -> DataFrame:
+    """Sequences of at most ``capacity`` ids, first-fit decreasing in random groups of documents.
 
-    The pieces of all documents are dealt by hash, one group for ``group_docs`` documents; more
-    documents make more groups, longer ones larger groups. A group numbers its sequences from the group number times
+    Whole documents are dealt by hash, one group for ``group_pieces`` pieces; more or longer
+    documents make more groups. A group numbers its sequences from the group number times
     2**32. Returns ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
     Ties go by ``doc_id`` and ``start``. A null or repeated ``doc_id`` is passed through:
     each input row is a document of its own. No documents give no rows.
+
+    The pieces are staged, as their number must be known before they are dealt.
     """
-    pieces = document_pieces(docs, path, capacity)
-    groups = max(1, -(-docs.select(F.lit(1)).count() // group_docs))
+    pieces = stage(document_pieces(docs, path, capacity), "pieces")
+    groups = max(1, -(-pieces.count() // group_pieces))
     dealt = pieces.withColumn("bin_group", F.pmod(
-        F.xxhash64("doc_id", "ids_crc32", "start"), F.lit(groups)).cast("long"))
+        F.xxhash64("doc_id", "task", "place"), F.lit(groups)).cast("long"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"],
-                              ascending=[False, True, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32", "task", "place"],
+                              ascending=[False, True, True, True, True, True], kind="stable")
         placed = np.array(first_fit_decreasing(pdf["length"].tolist(), capacity),
                           np.int64).reshape(-1, 2)
         pdf["sequence_id"] = (pdf["bin_group"].to_numpy() << 32) + placed[:, 0]
         pdf["offset"] = placed[:, 1]
-        return pdf.drop(columns="bin_group").astype({"doc_id": "Int64"})
+        return pdf.drop(columns=["bin_group", "task", "place"]).astype({"doc_id": "Int64"})
 
-    return dealt.groupBy("bin_group").applyInPandas(
-        fill, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-              "sequence_id long, offset long")
+    return dealt.groupBy("bin_group").applyInPandas(fill, f"{PIECE}, sequence_id long, offset long")

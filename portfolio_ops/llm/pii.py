@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -54,6 +55,10 @@ LETTERS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMN
            "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ", "ΆΈΉΊΌΎΏ"]
 PLAIN = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
 HEX = ["0123456789abcdef", "ABCDEF"]
+# fixed values: country codes of one and two digits; all others have three
+COUNTRY_CODES = frozenset(
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 "
+    "66 81 82 84 86 90 91 92 93 94 95 98".split())
 CACHED_CHARS = 256      # longer entities are replaced without the cache
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -72,9 +77,11 @@ ASSIGNED = re.compile(
     r"(?P<secret>(?=[A-Za-z_./+-]*\d)[A-Za-z0-9_./+-]{8,})", re.IGNORECASE | re.ASCII)
 HAS_DIGIT = re.compile(r"\d", re.ASCII)
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)
-DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
+DOMAIN = re.compile(r"@(?:[^\W_](?:[^\W_]|-)*+(?<!-)\.)++[^\W\d_]{2,}")
+# letters, digits, hyphens and apostrophes, and the marks that letters of some scripts carry
+IN_NAME = r"[\w'’\u0300-\u036F\u0591-\u05C7\u064B-\u065F\u0900-\u0E7F-]"
 NAMES = re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.? (?:(?:" + "|".join(ACADEMIC)
-                   + r")\.? )*+(?P<name>[^\W\d_][\w'’-]+(?: [^\W\d_a-zа-яα-ω][\w'’-]+){0,2})")
+                   + rf")\.? )*+(?P<name>[^\W\d_]{IN_NAME}+(?: [^\W\d_a-zа-яα-ω]{IN_NAME}+){{0,2}})")
 RUN = re.compile(r"\w+")
 MAYBE_NAME = re.compile(r"(?:" + "|".join(TITLES) + r")\.? ")
 
@@ -114,8 +121,10 @@ class Surrogates:
         return self._mixed(place, size, kind, True)
 
     def word(self, text: str, alphabets: list[str], kind: str) -> str:
-        """A word of the same format: every character stays in its alphabet, others stay."""
-        own = [next((a for a in alphabets if c in a), None) for c in text]
+        """A word of the same format: every character stays in its alphabet, a letter of no
+        alphabet in its script and category; others stay."""
+        own = [next((a for a in alphabets if c in a), None) or script_alphabet(c, alphabets is LETTERS)
+               for c in text]
         levels = _levels([(a.index(c), len(a)) for c, a in zip(text, own) if a])
         value, size = levels[-1][0]
         shape = "".join("-" if a is None else a[0] for a in own)
@@ -127,7 +136,7 @@ class Surrogates:
     def email(self, text: str) -> str:
         """Case of an address does not matter: the lower-case address decides."""
         head, _, top = text.rpartition(".")
-        return _like(self.word(head.lower(), PLAIN, "email"), head) + "." + top
+        return _like(self.word("".join(map(_lower, head)), PLAIN, "email"), head) + "." + top
 
     def ip(self, text: str) -> str:
         value = int.from_bytes(bytes(map(int, text.split("."))), "big")
@@ -150,10 +159,12 @@ class Surrogates:
 
     def phone(self, text: str) -> str:
         """The country code stays; the same number in another style gets the same digits."""
-        code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-        head = code.group() if code else text[:text.startswith("+")]
-        rest = text[len(head):]
-        return head + _fill(rest, self.word(re.sub(r"\D", "", rest), PLAIN, "phone"))
+        digits = re.sub(r"\D", "", text)
+        code = ""
+        if text.startswith("+"):
+            code = next((digits[:n] for n in (1, 2) if digits[:n] in COUNTRY_CODES), digits[:3])
+        rest = digits[len(code):]
+        return _fill(text, code + self.word(rest, PLAIN, "phone"))
 
     def iban(self, text: str) -> str:
         compact = text.replace(" ", "")
@@ -294,8 +305,36 @@ def _digits(value: int, levels: list[list[tuple[int, int]]]) -> list[int]:
     return values
 
 
+@lru_cache(maxsize=2)
+def _script_alphabets(names: bool) -> dict[str, str]:
+    """The letters of the basic plane beyond ASCII by script and category, for names without
+    those of ``LETTERS``."""
+    listed = set("".join(LETTERS)) if names else set()
+    groups: dict[tuple[str, str], list[str]] = {}
+    for c in map(chr, range(0x80, 0x10000)):
+        if c.isalpha() and c not in listed:
+            groups.setdefault((unicodedata.name(c, "?").split()[0], unicodedata.category(c)), []).append(c)
+    few = "".join(c for g in groups.values() if len(g) < 8 for c in g)
+    return {c: "".join(g) if len(g) >= 8 else few for g in groups.values() for c in g}
+
+
+def script_alphabet(c: str, names: bool) -> str | None:
+    """Letters that may stand for ``c``: those of its script and category, of a few letters all
+    such together, beyond the basic plane those of its category in the 256 code points around it."""
+    if c.isascii() or not c.isalpha():
+        return None
+    if ord(c) >= 0x10000:
+        start, kind = ord(c) & ~0xFF, unicodedata.category(c)
+        return "".join(x for x in map(chr, range(start, start + 256)) if unicodedata.category(x) == kind)
+    return _script_alphabets(names).get(c)
+
+
+def _lower(c: str) -> str:
+    return c.lower() if len(c.lower()) == 1 else c
+
+
 def _like(word: str, model: str) -> str:
-    return "".join(c.upper() if m.isupper() else c for c, m in zip(word, model))
+    return "".join(c.upper() if m.isupper() and len(c.upper()) == 1 else c for c, m in zip(word, model))
 
 
 def _fill(model: str, content: str) -> str:
@@ -357,6 +396,21 @@ def scrub_rows(docs: DataFrame, key: str) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
+class SurrogateCollision(ValueError):
+    """Two entities of a corpus have one surrogate, or one entity has two."""
+
+
+def checked(docs: DataFrame, key: str) -> DataFrame:
+    """``docs``, once the surrogates of all its entities are known to be distinct and stable.
+
+    The entities of the whole corpus are replaced and grouped by Spark; only whether a collision
+    exists reaches the driver. A collision raises ``SurrogateCollision``: choose another key.
+    """
+    if collisions(entity_table(docs, key)).limit(1).count():
+        raise SurrogateCollision("surrogates collide under this key")
+    return docs
+
+
 def entity_table(docs: DataFrame, key: str) -> DataFrame:
     """Distinct ``kind, entity, surrogate`` of a corpus. ``entity`` is a keyed digest of the
     canonical entity, so that the table holds no personal data."""

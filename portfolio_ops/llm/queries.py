@@ -120,7 +120,8 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_pii_surrogates")
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.scrub(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    docs = pii.checked(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return pii.scrub(docs, SURROGATE_KEY)
 
 
 OP11_SQL = r"""

@@ -61,22 +61,20 @@ def release_memory() -> None:
         _trim()(0)
 
 
-@lru_cache(maxsize=1)
-def char_classes() -> np.ndarray:
-    """Class of every code point: letter (L*), number (N*), white space or other."""
-    table = np.zeros(0x110000, np.uint8)
+@lru_cache(maxsize=2)
+def char_classes(size: int = 0x110000) -> np.ndarray:
+    """Class of every code point below ``size``: letter (L*), number (N*), white space or other."""
+    table = np.zeros(size, np.uint8)
     kinds = {"L": LETTER, "N": NUMBER}
-    for code in range(0x110000):
+    for code in range(size):
         kind = kinds.get(unicodedata.category(chr(code))[0])
         if kind:
             table[code] = kind
-    table[WHITE_SPACE] = SPACE
+    table[[code for code in WHITE_SPACE if code < size]] = SPACE
     return table
 
 
-@lru_cache(maxsize=1)
-def _first_classes() -> np.ndarray:
-    return char_classes()[:0x3000].copy()
+FIRST_CODES = 0x3001  # most texts need no others
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +123,7 @@ def piece_bounds(codes: np.ndarray, offsets: np.ndarray, spaced: bool
     character stands alone.
     """
     top = codes.max(initial=0)
-    cls = (_first_classes() if top < 0x3000 else char_classes())[codes]
+    cls = (char_classes(FIRST_CODES) if top < FIRST_CODES else char_classes())[codes]
     starts = run_starts(codes, offsets, cls)
     new = starts.copy()
     if not len(codes):
@@ -195,53 +193,62 @@ def changes(*columns: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """The pieces of one chunk, each distinct piece numbered once."""
+    """The pieces of one chunk as strings, in order."""
 
     def __init__(self, texts: list[str], spaced: bool):
-        self.codes, offsets = code_points(texts)
-        self.begin, self.end, self.text = piece_bounds(self.codes, offsets, spaced)
+        codes, offsets = code_points(texts)
+        begin, end, self.text = piece_bounds(codes, offsets, spaced)
+        whole = "".join(texts)
+        self.strings = [whole[a:b] for a, b in zip(begin.tolist(), end.tolist())]
         self.n_texts = len(texts)
-        hashes = span_hashes(self.codes, self.begin, self.end)
-        self.hashes, self.first, self.number = np.unique(
-            hashes, return_index=True, return_inverse=True)
-
-    def strings(self, numbers: np.ndarray) -> list[str]:
-        raw = self.codes.astype("<u4", copy=False)
-        at = self.first[numbers]
-        return [raw[a:b].tobytes().decode("utf-32-le")
-                for a, b in zip(self.begin[at].tolist(), self.end[at].tolist())]
 
     def bounds(self) -> np.ndarray:
         """Where the pieces of each text begin, and the end."""
         return np.searchsorted(self.text, np.arange(self.n_texts + 1))
 
 
+class Growing:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, kind):
+        self.held, self.size = np.zeros(1024, kind), 0
+
+    def extend(self, values) -> None:
+        values = np.asarray(values, self.held.dtype)
+        if self.size + len(values) > len(self.held):
+            larger = np.zeros(max(2 * len(self.held), self.size + len(values)), self.held.dtype)
+            larger[:self.size] = self.held[:self.size]
+            self.held = larger
+        self.held[self.size:self.size + len(values)] = values
+        self.size += len(values)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        return self.held[at]
+
+
 class PieceCache:
-    """Results by piece hash, kept for the life of a Python worker up to ``limit`` pieces.
+    """Numbers of pieces whose results are known, for the life of a Python worker.
 
-    The limit bounds memory only. Pieces are held in two generations: when the younger has half
-    the limit it becomes the older one, and what is asked for again moves up.
+    ``compute(strings)`` keeps the results of new pieces, in order; ``forget()`` drops all of
+    them. Pieces are compared themselves, not by a hash. Above ``limit`` pieces or
+    ``characters`` the cache starts anew: both bound memory only.
     """
 
-    def __init__(self, compute, limit: int = 300_000):
-        self.compute, self.limit = compute, limit
-        self.young: dict = {}
-        self.older: dict = {}
-
-    def __call__(self, pieces: Pieces) -> list:
-        """One result for each distinct piece, in the order of ``pieces.hashes``."""
-        keys = pieces.hashes.tolist()
-        out = list(map(self.young.get, keys))
-        absent = [i for i, x in enumerate(out) if x is None]
-        missing = []
-        for i in absent:
-            out[i] = self.older.get(keys[i])
-            if out[i] is None:
-                missing.append(i)
+    def __init__(self, compute, forget, limit: int = 1_000_000, characters: int = 1 << 26):
+        self.compute, self.forget = compute, forget
+        self.limit, self.characters = limit, characters
+        self.numbers: dict[str, int] = {}
+        self.held = 0
+
+    def __call__(self, strings: list[str]) -> np.ndarray:
+        if len(self.numbers) > self.limit or self.held > self.characters:
+            self.numbers, self.held = {}, 0
+            self.forget()
+        known = list(map(self.numbers.get, strings))
+        missing = list(dict.fromkeys(s for s, k in zip(strings, known) if k is None))
         if missing:
-            for i, x in zip(missing, self.compute(pieces.strings(np.asarray(missing)))):
-                out[i] = x
-        if len(self.young) + len(absent) > self.limit // 2:
-            self.older, self.young = self.young, {}
-        self.young.update((keys[i], out[i]) for i in absent)
-        return out
+            self.compute(missing)
+            self.numbers.update(zip(missing, range(len(self.numbers), len(self.numbers) + len(missing))))
+            self.held += sum(map(len, missing))
+            known = map(self.numbers.__getitem__, strings)
+        return np.fromiter(known, np.int64, len(strings))

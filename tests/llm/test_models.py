@@ -132,3 +132,9 @@ def test_language_edges(spark):
     none = langid.train(frame(spark, []))
     assert none.predict(["words"])[0] == ["und"]
     assert langid.identify(frame(spark, []), model).count() == 0
+
+
+@pytest.mark.parametrize("text, want", [("½ ² Ⅷ 12", False), ("", False), ("_-!", False), ("1a", True),
+                                        ("日", True), ("²é", True)])
+def test_only_letters_are_letters(text, want):
+    assert langid.has_letter(text) is want

@@ -155,3 +155,58 @@ def test_many_names_in_one_text():
     text = ". ".join("Dr. " + n for n in names) + ". " + ". ".join(names)
     changed, pairs = OWN.replace(text)
     assert len(pairs) == 10_000 and len(set(pairs)) == 5_000
+
+
+@pytest.mark.parametrize("text, entity", [
+    ("saw Mr. 李小龙 there", "李小龙"), ("Dr. محمد علي came", "محمد علي"), ("Mr Żółć left", "Żółć"),
+    ("to жанна@example.com now", "жанна@example.com"), ("to anna@bücher.de now", "anna@bücher.de"),
+    ("Prof. हरि कुमार", "हरि कुमार"), ("Mr 𐐀𐐁𐐂", "𐐀𐐁𐐂")])
+def test_entities_of_every_script_are_replaced(text, entity):
+    changed, pairs = OWN.replace(text)
+    assert [e for _, e, _ in pairs] == [entity] and entity not in changed
+    (_, _, surrogate), = pairs
+    if "@" in entity:
+        assert surrogate.split("@")[0] != entity.split("@")[0]
+    else:
+        for old, new in zip(entity, surrogate):
+            assert old.isalpha() == new.isalpha() and old.isupper() == new.isupper()
+
+
+def test_script_letters_are_one_to_one():
+    import unicodedata
+    for base in ("żółćę", "李小龙王", "مدعل"):
+        words = [a + b for a in base for b in base]
+        out = {OWN.word(w, pii.LETTERS, "name") for w in words}
+        assert len(out) == len(words)
+        assert all(unicodedata.name(x).split()[0] == unicodedata.name(base[0]).split()[0] for w in out for x in w)
+
+
+def test_one_number_in_two_styles():
+    styles = ["+16635556869", "+1 663 555 6869", "+1 (663) 555-6869", "+1.663.555.6869"]
+    found = {re.sub(r"[^+0-9]", "", OWN.find("phone", s)) for s in styles}
+    assert len(found) == 1 and found.pop().startswith("+1")
+    assert OWN.find("phone", "+35312345678").startswith("+353")
+
+
+def test_equals_a_table_of_entities_replaced_one_by_one(spark):
+    """Brute force: entities listed by hand, their surrogates put in their places."""
+    entities = {"a.b@mail.org": "email", "Weber": "name", "李小龙": "name", "+1 663 555 6869": "phone",
+                "123-45-6789": "ssn", "11.12.13.14": "ip"}
+    texts = ["Mr Weber wrote to a.b@mail.org from 11.12.13.14", "call +1 663 555 6869, Mr. 李小龙; SSN 123-45-6789",
+             "nothing here"]
+
+    def naive(text):
+        for entity, kind in entities.items():
+            text = text.replace(entity, OWN.find(kind, entity))
+        return text
+    got = dict(rows_of(pii.scrub(frame(spark, list(enumerate(texts))), "test key"), "doc_id", "text"))
+    assert got == {k: naive(t) for k, t in enumerate(texts)}
+
+
+def test_collisions_stop_the_job(spark, monkeypatch):
+    docs = frame(spark, [(1, "mail a@b.com and c@d.com")])
+    assert pii.checked(docs, "k") is docs
+    same = spark.createDataFrame([("email", "x", "s"), ("email", "y", "s")], "kind string, entity string, surrogate string")
+    monkeypatch.setattr(pii, "entity_table", lambda d, k: same)
+    with pytest.raises(pii.SurrogateCollision):
+        pii.checked(docs, "k")

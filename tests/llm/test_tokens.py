@@ -43,7 +43,7 @@ def test_encoders_equal_the_library(library, path):
     if path == WORD:
         assert [g[2] for g in got] == [
             library[path].decode(e.ids, skip_special_tokens=False) for e in want]
-    assert [x.tolist() for x in packing.LibraryCoder(path).texts(texts)] == [e.ids for e in want]
+    assert [x.tolist() for x in packing.BulkCoder(path).texts(texts)] == [e.ids for e in want]
 
 
 @settings(max_examples=150, deadline=None)
@@ -73,6 +73,30 @@ def test_cache_starts_anew_at_its_limit():
     assert own.texts(texts).tolist() == bpe.counter(BYTE).texts(texts).tolist()
 
 
+def thue_morse(a, b, size=1024):
+    return "".join(b if bin(k).count("1") % 2 else a for k in range(size))
+
+
+def test_words_that_polynomial_hashes_confuse(library):
+    """Any odd base modulo 2**64 gives the two words one hash."""
+    texts = [thue_morse("a", "b"), thue_morse("b", "a"), thue_morse("a", "b") + " " + thue_morse("b", "a")]
+    for path in (WORD, BYTE):
+        want = [e.ids for e in library[path].encode_batch(texts, add_special_tokens=False)]
+        assert bpe.counter(path).texts(texts).tolist() == list(map(len, want))
+        assert [g[1] for g in bpe.coder(path).texts(texts)] == [" ".join(map(str, w)) for w in want]
+        assert [x.tolist() for x in packing.BulkCoder(path).texts(texts)] == want
+
+
+def test_a_long_document_makes_more_groups(spark):
+    rows = [(1, "word " * 60_000), (2, "one"), (3, "two")]
+    pieces = packing.pack(frame(spark, rows), BYTE, group_pieces=10).collect()
+    groups = {}
+    for r in pieces:
+        groups.setdefault(r["doc_id"], set()).add(r["sequence_id"] >> 32)
+    assert all(len(g) == 1 for g in groups.values())        # a document is dealt whole
+    assert max(g for own in groups.values() for g in own) <= -(-len(pieces) // 10)
+
+
 def test_chunks_never_cut_a_text():
     texts = ["a" * n for n in (0, 5, 100, 1, 0, 30)]
     batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["doc_id", "text"])
@@ -134,7 +158,7 @@ def crc(part):
 
 def test_packing(spark, library):
     rows = edge_texts() + [(100 + k, "token stream " * (k % 90)) for k in range(300)]
-    pieces = packing.pack(frame(spark, rows), BYTE, group_docs=150).collect()
+    pieces = packing.pack(frame(spark, rows), BYTE, group_pieces=150).collect()
     assert check_packing(rows, pieces, library[BYTE]) < 0.05
     assert packing.pack(frame(spark, []), BYTE).count() == 0
 
