@@ -39,7 +39,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(pii.scrub_rows(docs, SURROGATE_KEY))
+    return _measured(pii.scrub_rows(pii.checked(docs, SURROGATE_KEY), SURROGATE_KEY))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
