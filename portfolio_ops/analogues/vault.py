@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portfolio_ops.analogues.registry import Tables, flat, query
+from portfolio_ops.operators.history import Columns, History, TwoPartSatellite, restitch
 from portfolio_ops.operators.vault import satellite_as_of
 from portfolio_ops.plans import vault_model
 from portfolio_ops.operators.migrate import migrate
@@ -122,6 +123,44 @@ def history(t: Tables) -> DataFrame:
                                     "IS_CURRENT_FLAG"))
 
 
+_HISTORY = _SATELLITE + """
+SELECT md5(CAST(k AS VARCHAR)) AS "HUB_POLICY_HK", strftime(seen, '%Y-%m-%d') AS "LOAD_DATETIME", st AS "POLICY_STATUS_NAME",
+ strftime(coalesce(fin, TIMESTAMP '9999-12-31'), '%Y-%m-%d') AS "END_DATETIME", CAST(fin IS NULL AS BIGINT) AS "IS_CURRENT_FLAG" FROM e"""
+_HISTORY_COLUMNS = ["HUB_POLICY_HK", "LOAD_DATETIME", "POLICY_STATUS_NAME", "END_DATETIME", "IS_CURRENT_FLAG"]
+
+
+def _disordered(t: Tables) -> tuple[Columns, list[DataFrame]]:
+    """The source in three batches: a middle, what is newer with every third day of what is older, then all."""
+    name, source = "SAT_POLICY_DETAIL_RAW", stage(premium_source(t), "versions")
+    day = F.datediff(F.col("LOAD_DATETIME"), F.lit("1992-01-01").cast("date"))
+    middle = day.between(800, 1600)
+    batches = [source.filter(middle), source.filter(~middle & ((day > 1600) | (day % 3 == 0))), source]
+    return Columns("HUB_POLICY_HK", vault_model.TABLES[name].attribute_names), batches
+
+
+@query("satellite_any_order", _HISTORY)
+def any_order(t: Tables) -> DataFrame:
+    """Late rows become versions at their place: three disordered batches give the sorted history."""
+    names, batches = _disordered(t)
+    versions = _empty(t, "SAT_POLICY_DETAIL_RAW")
+    made = History(versions, versions.drop("END_DATETIME", "IS_CURRENT_FLAG"))
+    for batch in batches:
+        made = restitch(made, batch, names)
+        made = History(stage(made.versions, "history"), stage(made.confirmed, "confirmed"))
+    return flat(made.versions.select(*_HISTORY_COLUMNS))
+
+
+@query("satellite_two_parts", _HISTORY)
+def two_parts(t: Tables) -> DataFrame:
+    """The same batches into a table of closed and current parts, partitioned by key bucket."""
+    names, batches = _disordered(t)
+    table = TwoPartSatellite(t.spark, os.path.join(shared_dir(t.spark), "published", uuid.uuid4().hex),
+                             vault_model.schema("SAT_POLICY_DETAIL_RAW"), names, buckets=8)
+    for batch in batches:
+        table.load(batch)
+    return flat(table.read().select(*_HISTORY_COLUMNS))
+
+
 @query("satellite_as_of", _SATELLITE + """
 SELECT md5(CAST(k AS VARCHAR)) AS "HUB_POLICY_HK", st AS "POLICY_STATUS_NAME" FROM e
 WHERE seen <= TIMESTAMP '1999-01-01' AND (fin IS NULL OR fin > TIMESTAMP '1999-01-01')""")

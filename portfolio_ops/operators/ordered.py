@@ -25,6 +25,8 @@ from portfolio_ops.session import stage
 
 # a group above this many rows is cut into segments
 GROUP_ROWS = 4_000_000
+# rows that make a segment worth a task of its own
+SEGMENT_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -134,7 +136,7 @@ def _outputs(spec: Ordered) -> list[str]:
 
 @dataclass(frozen=True)
 class LargeGroups:
-    """Keys of groups too large for one task, and the segments that all of them need."""
+    """Keys of groups too large for one task, and the segments that all of them fill."""
 
     keys: DataFrame
     segments: int
@@ -143,16 +145,31 @@ class LargeGroups:
         return segmented(df, spec, self.segments)
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> LargeGroups | None:
+def segment_count(rows: int, group_rows: int, segment_rows: int = SEGMENT_ROWS) -> int:
+    """Range partitions for the rows of all large groups together.
+
+    Range partitioning cuts at quantiles of (keys, order) over all of them, so several groups
+    share a partition and a group is cut only where it is larger. Twice what the rows fill,
+    as the quantiles are sampled; never segments under half of ``segment_rows`` on average.
+    """
+    return max(1, -(-2 * rows // max(group_rows, segment_rows)))
+
+
+def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS,
+                 segment_rows: int = SEGMENT_ROWS) -> LargeGroups | None:
     """Groups above ``group_rows``, or None when there are none.
 
-    One grouped count, combined before its shuffle; at most ``rows / group_rows`` keys
-    qualify. Twice the segments that the groups fill, as range bounds are estimates.
+    A table of no more rows has none: Parquet answers that count from its footers. Else one
+    grouped count, combined before its shuffle; its keys are staged only when there are
+    large groups, of which at most ``rows / group_rows`` exist.
     """
+    if df.count() <= group_rows:
+        return None
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows)
-    found = stage(counted, "large")
-    segments = found.agg(F.sum(F.ceil(F.col("_n") / group_rows))).first()[0]
-    return LargeGroups(found.drop("_n"), 2 * int(segments)) if segments else None
+    rows = counted.agg(F.sum("_n")).first()[0]
+    if rows is None:
+        return None
+    return LargeGroups(stage(counted.drop("_n"), "large"), segment_count(rows, group_rows, segment_rows))
 
 
 def split_by(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

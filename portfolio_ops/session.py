@@ -70,6 +70,11 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def unstage(df: DataFrame) -> None:
     """Delete the files of a table made by ``stage``, once nothing reads it any more."""
     path = df.__dict__.pop("_staged_at", None)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from portfolio_ops.operators.dedupe import first_per_key, keep_max_key, latest_per_key
 from portfolio_ops.operators.ordered import (
-    Ordered, balance_columns, large_groups, ordered_groups, plain, segmented)
+    Ordered, balance_columns, large_groups, ordered_groups, plain, segment_count, segmented)
 from portfolio_ops.operators.ranking import global_dense_rank
 
 
@@ -57,7 +57,7 @@ def test_groups_really_are_cut(spark, rows):
 
 
 def test_large_groups_take_the_segmented_way(rows):
-    large = large_groups(rows, ["k"], 500)
+    large = large_groups(rows, ["k"], 500, segment_rows=1)
     assert [r["k"] for r in large.keys.collect()] == ["hot"]
     hot = rows.filter("k = 'hot'")
     assert large.segments >= 2 * -(-hot.count() // 500)
@@ -70,6 +70,29 @@ def test_large_groups_take_the_segmented_way(rows):
     assert got.count() == rows.count()
 
 
+@pytest.mark.parametrize("rows, group_rows, want", [
+    (10_000, 5, 2), (1_000_000, 5, 200), (8_000_001, 4_000_000, 5), (1, 5, 1)])
+def test_segments_follow_from_all_rows(rows, group_rows, want):
+    assert segment_count(rows, group_rows) == want
+
+
+def test_many_groups_just_too_large_share_segments(spark):
+    """5,000 groups of six rows with a limit of five fill a few range partitions, not thousands."""
+    df = spark.range(30_000).selectExpr("id % 5000 as k", "id as t", "id % 7 as v")
+    large = large_groups(df, ["k"], 5)
+    assert large.keys.count() == 5000 and large.segments == 6
+    one = Ordered(["k"], [F.col("t").asc()], position="pos", running={"run": "v"}, lags={"prev": "v"})
+    got = ordered_groups(df, one, group_rows=5)
+    assert collect(got, "k", "t", "pos", "run", "prev") == collect(plain(df, one), "k", "t", "pos", "run", "prev")
+
+
+def test_small_tables_need_no_grouped_count(spark, monkeypatch):
+    import portfolio_ops.operators.ordered as ordered
+    monkeypatch.setattr(ordered, "stage", lambda *a: pytest.fail("nothing is staged"))
+    df = spark.range(100).selectExpr("id % 3 as k", "id as t")
+    assert large_groups(df, ["k"], 100) is None and large_groups(df, ["k"], 99) is None
+
+
 def test_balance_equals_lag_form(rows):
     filled = rows.fillna({"v": 0}).withColumn("inflow", F.col("id") % 7)
     w = W.partitionBy("k").orderBy("id")
