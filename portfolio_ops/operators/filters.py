@@ -48,6 +48,12 @@ def changed_since(mark: Column | dt.datetime, *times: Column) -> Column:
     return out
 
 
+def touched_since(mark: dt.datetime, created: str, modified: str) -> Column:
+    """``touched_at(created, modified)`` at or after the mark, in a form that Parquet scans take."""
+    bound = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
+    return (F.col(modified) >= bound) | (F.col(modified).isNull() & (F.col(created) >= bound))
+
+
 def stored_state(stored: DataFrame, created: str, modified: str) -> tuple[dt.datetime, bool]:
     """High-water mark and whether this is a first load, in one aggregate.
 

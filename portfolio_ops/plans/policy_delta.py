@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from portfolio_ops.functions.exprs import (
     folded, is_true, map_literal, same_text, source_priority, text_in)
 from portfolio_ops.operators.change import drop_superseded
 from portfolio_ops.operators.dedupe import distinct_text, first_per_key
-from portfolio_ops.operators.filters import changed_since, delete_where, stored_state, touched_at
+from portfolio_ops.operators.filters import changed_since, delete_where, stored_state, touched_at, touched_since
 from portfolio_ops.operators.lookups import lookup
 from portfolio_ops.schemas import POLICY_ALL
 from portfolio_ops.session import stage
@@ -66,14 +68,41 @@ def _known(df: DataFrame, reference: str, flag: str) -> DataFrame:
             .withColumn(flag, F.lit(True)))
 
 
-def changed_policies(inputs: PolicyInputs, stored: DataFrame, mark) -> DataFrame:
-    """Policies changed since the mark or in neither list, with the source rules applied."""
-    keyed = [folded("SourceSystem").alias("_s"), folded("PolicySourceId").alias("_i")]
+def _keyed(df: DataFrame) -> DataFrame:
+    return df.withColumns({"_s": folded("SourceSystem"), "_i": folded("PolicySourceId")})
+
+
+def candidate_keys(policy: DataFrame, sides: Sequence[DataFrame], inputs: PolicyInputs, stored: DataFrame,
+                   mark) -> DataFrame:
+    """``_s, _i`` of every policy that a changed row, or a reference in neither list, may select.
+
+    From scans of keys, times and references only; the time filter reaches the scan. A superset
+    of what the full condition selects, as that also needs the rows to meet.
+    """
+    def changed(df: DataFrame) -> DataFrame:
+        return df.filter(touched_since(mark, "AuditCreateDateTime", "AuditModifyDateTime")).select("_s", "_i")
+    known = inputs.dedupe.select(folded("PolicyReference").alias("_ref")) \
+        .unionByName(stored.select(folded("PolicyReference").alias("_ref"))).distinct()
+    unknown = policy.select("_s", "_i", folded("PolicyReference").alias("_own")) \
+        .join(known, F.col("_own") == F.col("_ref"), "left_anti").select("_s", "_i")
+    found = reduce(lambda one, two: one.unionByName(two), [changed(df) for df in (policy, *sides)], unknown)
+    return found.filter("_s is not null and _i is not null").distinct()
+
+
+def changed_policies(inputs: PolicyInputs, stored: DataFrame, mark, first_load: bool = False) -> DataFrame:
+    """Policies changed since the mark or in neither list, with the source rules applied.
+
+    Candidate keys first: the wide rows of each side are reduced to them before they are
+    joined. A first load takes every policy, so it goes without.
+    """
     excluded = text_in(F.coalesce("OriginatingSourceSystem", F.lit(fv.MISSING_ORIGIN)),
                        fv.EXCLUDED_ORIGINS)
-    p = inputs.policy.select("*", *keyed).alias("p")
-    e = inputs.policy_ext.filter(~excluded).select("*", *keyed).alias("e")
-    s = inputs.section_ext.filter(F.col("SectionSequenceId") == 1).select("*", *keyed).alias("s")
+    sides = [_keyed(inputs.policy), _keyed(inputs.policy_ext.filter(~excluded)),
+             _keyed(inputs.section_ext.filter(F.col("SectionSequenceId") == 1))]
+    if not first_load:
+        keys = stage(candidate_keys(sides[0], sides[1:], inputs, stored, mark), "candidates")
+        sides = [df.join(keys, ["_s", "_i"], "left_semi") for df in sides]
+    p, e, s = (df.alias(name) for df, name in zip(sides, "pes"))
 
     rows = (p.join(e, (F.col("p._s") == F.col("e._s")) & (F.col("p._i") == F.col("e._i")))
             .join(s, (F.col("p._s") == F.col("s._s")) & (F.col("p._i") == F.col("s._i")), "left"))
@@ -104,7 +133,7 @@ def changed_policies(inputs: PolicyInputs, stored: DataFrame, mark) -> DataFrame
 def policy_delta(inputs: PolicyInputs, stored: DataFrame) -> DataFrame:
     """Rows that replace the delta table."""
     mark, first_load = stored_state(stored, "AuditCreateDateTime", "AuditModifyDateTime")
-    rows = changed_policies(inputs, stored, mark)
+    rows = changed_policies(inputs, stored, mark, first_load)
     rows = delete_where(rows, same_text("OriginatingSourceSystem", fv.RETIRED_ORIGIN)
                         & (F.col("YearOfAccount") >= fv.RETIRED_ORIGIN_FROM_YEAR))
     if first_load:

@@ -4,7 +4,7 @@ import pytest
 
 from portfolio_ops import schemas as s
 from portfolio_ops.functions import fixed_values as fv
-from portfolio_ops.plans.policy_delta import PolicyInputs, policy_delta
+from portfolio_ops.plans.policy_delta import PolicyInputs, changed_policies, policy_delta
 
 OLD, MARK, NEW = (dt.datetime(y, 1, 1) for y in (2019, 2020, 2021))
 PRO, CONTRACT, UNI = fv.PRO_SOURCE, fv.DATA_CONTRACT_SOURCE, fv.UNIRISX_SOURCE
@@ -76,3 +76,45 @@ def test_first_load_keeps_one_source_per_reference(make, inputs):
 
 def test_output_columns(inputs):
     assert len(fv.POLICY_COLUMNS) == len(set(fv.POLICY_COLUMNS)) == 81
+
+
+def test_wide_rows_are_read_after_the_candidate_keys(make, inputs, tmp_path, spark):
+    """Each wide side meets the candidate keys in a semi join below the join of the sides, and the
+    candidate scan has keys, times and references only."""
+    stored = make(s.STORED_POLICY, [dict(zip(s.STORED_POLICY.fieldNames(), r)) for r in STORED])
+    saved = {}
+    for name in ("policy", "policy_ext", "section_ext", "placement_method", "dedupe"):
+        getattr(inputs, name).write.parquet(str(tmp_path / name))
+        saved[name] = spark.read.parquet(str(tmp_path / name))
+    plans = []
+    import portfolio_ops.plans.policy_delta as module
+    real = module.stage
+
+    def looking(df, label="stage"):
+        plans.append((label, df._jdf.queryExecution().explainString(
+            df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))))
+        return real(df, label)
+    module.stage = looking
+    try:
+        rows = changed_policies(PolicyInputs(**saved), stored, MARK)
+    finally:
+        module.stage = real
+    (label, narrow), = plans
+    assert label == "candidates" and "CRMBrokerName" not in narrow and "MarketSegment" not in narrow
+    assert narrow.count("Or(GreaterThanOrEqual(AuditModifyDateTime") == 3
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 3
+    below = plan[plan.index("Join Inner"):]
+    assert below.count("Join LeftSemi") == 3        # all of them below the join of the sides
+    assert rows.count() > 0
+
+
+def test_rows_that_only_meet_in_part_are_not_taken(make, inputs):
+    """A key with two extension rows, one changed: only the changed one comes."""
+    policy = make(s.POLICY, [dict(SourceSystem="X", PolicySourceId="1", PolicyReference="r", HashBytesId="h",
+                                  AuditCreateDateTime=OLD)])
+    ext = make(s.POLICY_EXT, [dict(SourceSystem="x", PolicySourceId="1", AuditCreateDateTime=t, CRMBrokerName=n)
+                              for t, n in ((OLD, "old"), (NEW, "new"))])
+    stored = make(s.STORED_POLICY, [dict(PolicyReference="R", SourceSystem="x", AuditCreateDateTime=MARK)])
+    own = PolicyInputs(policy, ext, make(s.SECTION_EXT, []), inputs.placement_method, make(s.DEDUPE_LIST, []))
+    assert [r["CRMBrokerName"] for r in policy_delta(own, stored).collect()] == ["new"]
