@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portfolio_ops.llm.text import chunks, id_and_text
+from portfolio_ops.session import stage, unstage
 
 # fixed values: given names by gender and script, titles by gender
 GIVEN = {
@@ -315,7 +316,8 @@ def _script_alphabets(names: bool) -> dict[str, str]:
         if c.isalpha() and c not in listed:
             groups.setdefault((unicodedata.name(c, "?").split()[0], unicodedata.category(c)), []).append(c)
     few = "".join(c for g in groups.values() if len(g) < 8 for c in g)
-    return {c: "".join(g) if len(g) >= 8 else few for g in groups.values() for c in g}
+    alphabets = ["".join(g) if len(g) >= 8 else few for g in groups.values()]
+    return {c: alphabet for alphabet, g in zip(alphabets, groups.values()) for c in g}
 
 
 def script_alphabet(c: str, names: bool) -> str | None:
@@ -403,10 +405,13 @@ class SurrogateCollision(ValueError):
 def checked(docs: DataFrame, key: str) -> DataFrame:
     """``docs``, once the surrogates of all its entities are known to be distinct and stable.
 
-    The entities of the whole corpus are replaced and grouped by Spark; only whether a collision
+    The entities of the whole corpus are staged, then grouped by Spark; only whether a collision
     exists reaches the driver. A collision raises ``SurrogateCollision``: choose another key.
     """
-    if collisions(entity_table(docs, key)).limit(1).count():
+    found = stage(entity_table(docs, key), "entities")
+    collide = not collisions(found).isEmpty()
+    unstage(found)
+    if collide:
         raise SurrogateCollision("surrogates collide under this key")
     return docs
 
