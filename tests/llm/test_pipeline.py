@@ -49,5 +49,5 @@ def test_stages_keep_the_columns(spark):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
     assert "pipeline" in names and set(QUERIES) <= set(names)
