@@ -15,8 +15,12 @@ from portfolio_ops.operators.change import (
     assign_by_class, fill_from_first, fill_from_group_max, mapping_by_class)
 from portfolio_ops.operators.dedupe import keep_max_key
 from portfolio_ops.operators.filters import delete_where
+from portfolio_ops.operators.ordered import GROUP_ROWS, Ordered, ordered_groups
 from portfolio_ops.session import stage
 
+# policies of one key that meet a section in one task; sets locality, never the rows
+POLICY_BLOCK = 10_000
+
 
 class HomeownersTables:
     """The three outputs, each made when it is asked for. What several of them read is staged
@@ -97,29 +101,73 @@ def build_policy(feed: DataFrame, groups: DataFrame) -> DataFrame:
         "YearOfAccount", "BrokerBeazleyTradeId")
 
 
-def policies_by_key(policy: DataFrame) -> DataFrame:
-    """One row per policy key with its policies, mostly one."""
-    return policy.groupBy(folded("PK_Policy").alias("_p")).agg(F.collect_list(F.struct(
-        F.col("PolicyReference").alias("_reference"), F.col("ExpiringPolicyReference").alias("_expiring"),
-        F.col("YearOfAccount").alias("_year"), F.col("PolicyLimit").alias("_limit"),
-        F.col("LimitCurrency").alias("_limit_currency"), F.col("PolicyDeductible").alias("_deductible")
-    )).alias("_policies"))
-
-
-def build_sections(feed: DataFrame, groups: DataFrame, policy: DataFrame) -> DataFrame:
-    """A section meets every policy of its key, the first section also every limit of them."""
-    policy_key = folded("FK_Policy")
+def policy_blocks(policy: DataFrame, block_rows: int = POLICY_BLOCK,
+                  group_rows: int = GROUP_ROWS) -> DataFrame:
+    """What sections take from policies, each row in a numbered block of its key, with the
+    number of blocks of the key, mostly one. No key's policies are gathered in one row."""
+    taken = {"_reference": "PolicyReference", "_expiring": "ExpiringPolicyReference", "_year": "YearOfAccount",
+             "_limit": "PolicyLimit", "_limit_currency": "LimitCurrency", "_deductible": "PolicyDeductible"}
+    rows = policy.select(folded("PK_Policy").alias("_p"), *[F.col(n).alias(out) for out, n in taken.items()])
+    placed = ordered_groups(rows, Ordered(["_p"], [F.col(n) for n in taken], position="_place",
+                                          group_size="_size"), group_rows)
+    return placed.select("_p", *taken,
+                         F.floor((F.col("_place") - 1) / block_rows).cast("int").alias("_block"),
+                         F.ceil(F.col("_size") / block_rows).cast("int").alias("_blocks"))
+
+
+def repeated(df: DataFrame, times: str, run: int = POLICY_BLOCK) -> DataFrame:
+    """Each row as often as ``times`` says, by two sequences, so that none is longer than the
+    count over ``run`` or than ``run``."""
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / run))
+    left = F.least(F.lit(run).cast("long"), F.col(times) - F.col("_run") * run)
+    return (df.withColumn("_run", F.explode(runs))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
+            .drop("_run", "_copy", times))
+
+
+def latest_records(feed: DataFrame, groups: DataFrame, per_key: DataFrame) -> DataFrame:
+    """Records that are the latest of a section group, once for each such group, with the premium
+    of their own group and the number of policy blocks of their key.
+
+    Most records are latest in their own group or in none, which the join with that group tells;
+    only the others are looked up among the latest records of all groups.
+    """
+    per_latest = (groups.filter(F.col("_latest").isNotNull()).groupBy(F.col("_latest").alias("_key"))
+                  .agg(F.count(F.lit(1)).alias("_times")))
+    shared = per_latest.filter(F.col("_times") > 1)
+    known = (groups.join(per_key, F.col("_f") == F.col("_p"))
+             .join(shared, F.col("_latest") == F.col("_key"), "left").drop("_key")
+             .withColumn("_times", F.coalesce("_times", F.lit(1).cast("long"))))
+    rows = feed.join(known, (folded("FK_Policy") == F.col("_f")) & (F.col("SectionSequenceID") == F.col("_q")))
+    record = folded("PK_Section")
+    elsewhere = (rows.filter(record < F.col("_latest")).drop("_times")
+                 .join(per_latest, record == F.col("_key")).drop("_key"))
+    return repeated(rows.filter(record == F.col("_latest")).unionByName(elsewhere), "_times")
+
+
+def build_sections(feed: DataFrame, groups: DataFrame, policy: DataFrame,
+                   block_rows: int = POLICY_BLOCK, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """A section meets every policy of its key, the first section also every limit of them.
+
+    Policies of a key meet sections in blocks: a section is copied to each block of owners, a
+    first section to each pair of an owner and a limit block, so that many policies of one key
+    spread over tasks. A key of few policies has one block and its sections one copy.
+    """
     first = F.col("SectionSequenceID") == 1
-    rows = (feed
-            .join(policies_by_key(policy), policy_key == F.col("_p"))
-            .join(groups.select("_f", "_q", "_premium"),
-                  (policy_key == F.col("_f")) & (F.col("SectionSequenceID") == F.col("_q")))
-            .join(groups.select("_latest"), folded("PK_Section") == F.col("_latest"))
-            .withColumn("_limits", F.when(first, F.col("_policies")))
-            .withColumn("_owner", F.explode("_policies"))
-            .withColumn("_limited", F.explode_outer("_limits"))
-            .withColumns({n: F.col(f"_owner.{n}") for n in ("_reference", "_expiring", "_year")})
-            .withColumns({n: F.col(f"_limited.{n}") for n in ("_limit", "_limit_currency", "_deductible")}))
+    blocks = policy_blocks(policy, block_rows, group_rows)
+    per_key = blocks.groupBy("_p").agg(F.max("_blocks").alias("_blocks"))
+    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    owners = blocks.select(F.col("_p").alias("_op"), F.col("_block").alias("_oo"), F.explode(every).alias("_ol"),
+                           "_reference", "_expiring", "_year")
+    limits = blocks.select(F.col("_p").alias("_lp"), F.explode(every).alias("_lo"), F.col("_block").alias("_ll"),
+                           "_limit", "_limit_currency", "_deductible")
+    rows = (latest_records(feed, groups, per_key)
+            .withColumn("_owner", F.explode(every))
+            .withColumn("_limited", F.explode(F.when(first, every).otherwise(F.array(F.lit(0)))))
+            .join(owners, (F.col("_p") == F.col("_op")) & (F.col("_owner") == F.col("_oo"))
+                  & (F.col("_limited") == F.col("_ol")))
+            .join(limits, first & (F.col("_p") == F.col("_lp")) & (F.col("_owner") == F.col("_lo"))
+                  & (F.col("_limited") == F.col("_ll")), "left"))
     own = ["CoverageName", "InceptionDate", "ExpiryDate"]
     return rows.select(
         "PK_Section", F.col("_reference").alias("PolicyReference"),

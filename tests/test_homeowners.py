@@ -5,7 +5,7 @@ import pytest
 
 from portfolio_ops import schemas as s
 from portfolio_ops.functions import fixed_values as fv
-from portfolio_ops.plans.homeowners import clean_feed, homeowners_load
+from portfolio_ops.plans.homeowners import build_policy, build_sections, clean_feed, homeowners_load, repeated, section_groups
 
 
 def line(policy, section, number, ref=None, **more):
@@ -77,3 +77,47 @@ def test_missing_premium_counts_as_zero(make):
     made = homeowners_load(make(s.FEED, [line("P1", "P1-1", 1, WrittenOrEstimatedPremium=None)]), make(s.SECTION_SOURCE, []))
     row = made.transaction.first()
     assert (row["ReceivedPremium"], row["ExternalAcquisitionCostAmount"]) == (0, 0)
+
+
+def naive_sections(feed, policies):
+    """(section, owner reference, limit) by plain loops over all rows."""
+    groups = {}
+    for r in feed:
+        groups.setdefault((r["FK_Policy"], r["SectionSequenceID"]), []).append(r["PK_Section"])
+    latest = [max(g) for g in groups.values()]
+    out = []
+    for r in feed:
+        owners = [p for p in policies if p["PK_Policy"] == r["FK_Policy"]]
+        for _ in range(latest.count(r["PK_Section"])):
+            for o in owners:
+                limits = [p["PolicyLimit"] for p in owners] if r["SectionSequenceID"] == 1 else [None]
+                out += [(r["PK_Section"], o["PolicyReference"], x) for x in limits]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_rows,group_rows", [(10_000, 4_000_000), (2, 4_000_000), (1, 3), (3, 2)])
+def test_many_policies_of_one_key(make, block_rows, group_rows):
+    """n policies of a key meet a section n times and a first section n x n times, in blocks or not."""
+    feed = [line("P1", "S1", 1, ref="A", PolicyLimit=str(k % 3)) for k in range(7)]   # ties and repeated rows
+    feed += [line("P1", "S2", 2, ref="A"), line("P2", "S3", 1), line("P2", "S4", 2), line("P2", "S0", 2, ref="P2"),
+             line("P3", "S5", 1), line("P3", "S4", 2), line("P4", "S6", 2)]           # S4 is latest of two groups
+    feed += [line("P5", "S4", 1), line("P5", "S7", 1)]                                # latest, but not of its own group
+    rows = make(s.FEED, feed)
+    groups = section_groups(rows)
+    policy = build_policy(rows, groups)
+    got = [(r["PK_Section"], r["PolicyReference"], r["SectionLimit"])
+           for r in build_sections(rows, groups, policy, block_rows, group_rows).collect()]
+    assert sorted(got, key=repr) == naive_sections(feed, [r.asDict() for r in policy.collect()])
+    assert sum(g[0] == "S1" for g in got) == 7 * 7 * 7 and sum(g[0] == "S2" for g in got) == 7
+
+
+def test_repeated(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 5), ("c", 4)], "v string, times long")
+    got = [r["v"] for r in repeated(rows, "times", run=2).collect()]
+    assert sorted(got) == ["a"] + ["b"] * 5 + ["c"] * 4
+
+
+def test_no_array_per_key(make):
+    rows = make(s.FEED, FEED)
+    plan = build_sections(rows, section_groups(rows), build_policy(rows, section_groups(rows)))
+    assert "collect_list" not in plan._jdf.queryExecution().optimizedPlan().toString()
