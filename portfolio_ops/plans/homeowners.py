@@ -129,20 +129,17 @@ def latest_records(feed: DataFrame, groups: DataFrame, per_key: DataFrame) -> Da
     """Records that are the latest of a section group, once for each such group, with the premium
     of their own group and the number of policy blocks of their key.
 
-    Most records are latest in their own group or in none, which the join with that group tells;
-    only the others are looked up among the latest records of all groups.
+    Which records these are follows from their keys alone; the wide rows are joined once.
     """
     per_latest = (groups.filter(F.col("_latest").isNotNull()).groupBy(F.col("_latest").alias("_key"))
                   .agg(F.count(F.lit(1)).alias("_times")))
-    shared = per_latest.filter(F.col("_times") > 1)
-    known = (groups.join(per_key, F.col("_f") == F.col("_p"))
-             .join(shared, F.col("_latest") == F.col("_key"), "left").drop("_key")
-             .withColumn("_times", F.coalesce("_times", F.lit(1).cast("long"))))
-    rows = feed.join(known, (folded("FK_Policy") == F.col("_f")) & (F.col("SectionSequenceID") == F.col("_q")))
-    record = folded("PK_Section")
-    elsewhere = (rows.filter(record < F.col("_latest")).drop("_times")
-                 .join(per_latest, record == F.col("_key")).drop("_key"))
-    return repeated(rows.filter(record == F.col("_latest")).unionByName(elsewhere), "_times")
+    record, own, number = folded("PK_Section"), folded("FK_Policy"), F.col("SectionSequenceID")
+    known = groups.select("_f", "_q", "_premium").join(per_key, F.col("_f") == F.col("_p")).drop("_f")
+    hits = (feed.select(own.alias("_of"), number.alias("_oq"), record.alias("_record")).distinct()
+            .join(known, (F.col("_of") == F.col("_p")) & (F.col("_oq") == F.col("_q"))).drop("_of", "_oq")
+            .join(per_latest, F.col("_record") == F.col("_key")).drop("_key"))
+    rows = feed.join(hits, (own == F.col("_p")) & (number == F.col("_q")) & (record == F.col("_record")))
+    return repeated(rows.drop("_q", "_record"), "_times")
 
 
 def build_sections(feed: DataFrame, groups: DataFrame, policy: DataFrame,
