@@ -10,7 +10,7 @@ from portfolio_ops.functions import exprs as x
 from portfolio_ops.functions.hashing import row_hash
 from portfolio_ops.operators.change import (
     assign_by_class, drop_superseded, fill_from_first, fill_from_group_max, insert_new,
-    mapping_by_class, merge_snapshot, not_stored, total_per_group)
+    mapping_by_class, merge_by_hash, merge_snapshot, not_stored, total_per_group)
 from portfolio_ops.operators.contract import Contract, ForeignKey, check_contract
 from portfolio_ops.operators.dedupe import first_per_key, keep_max_key, latest_per_key
 from portfolio_ops.operators.filters import delete_where, only_active, required_keys
@@ -153,15 +153,17 @@ def hashes(t: Tables) -> DataFrame:
 _TARGET_PRICE = "CASE WHEN o_orderstatus='F' THEN o_totalprice + 1 ELSE o_totalprice END"
 
 
-@query("merge_snapshot", f"""
+_MERGED = f"""
 WITH tgt AS (SELECT *, {_TARGET_PRICE} AS price, 'old' AS tag, 'old' AS made FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
 src AS (SELECT *, o_totalprice AS price, 'new' AS tag, 'new' AS made FROM orders WHERE o_orderdate >= TIMESTAMP '1996-06-01'),
 t AS (SELECT o_orderkey, tag, made, o_orderpriority, CAST(price AS DECIMAL(19,4)) AS price, {_SHA.format(st='o_orderstatus', price='price')} AS h FROM tgt),
 s AS (SELECT o_orderkey, tag, made, o_orderpriority, CAST(price AS DECIMAL(19,4)) AS price, {_SHA.format(st='o_orderstatus', price='price')} AS h FROM src)
 SELECT s.o_orderkey, CASE WHEN t.h IS NULL OR t.h<>s.h THEN s.tag ELSE t.tag END AS tag, coalesce(t.made, s.made) AS made,
  CAST(CASE WHEN t.h IS NULL OR t.h<>s.h THEN s.price ELSE t.price END AS DOUBLE) AS price
-FROM s LEFT JOIN t ON t.o_orderkey=s.o_orderkey""")
-def merge(t: Tables) -> DataFrame:
+FROM s LEFT JOIN t ON t.o_orderkey=s.o_orderkey"""
+
+
+def _merge_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
     def limit(day_text: str):
         return F.lit(day_text).cast("timestamp_ntz")
     old = t.orders.filter(F.col("o_orderdate") < limit("2000-01-01")).withColumn(
@@ -171,8 +173,21 @@ def merge(t: Tables) -> DataFrame:
 
     def tagged(rows: DataFrame, tag: str) -> DataFrame:
         return _hashed(rows).withColumns({"tag": F.lit(tag), "made": F.lit(tag)})
-    merged = merge_snapshot(tagged(old, "old"), tagged(new, "new"), ["o_orderkey"], "h",
-                            ["o_custkey", "o_orderstatus", "price", "o_orderdate", "tag"])
+    return tagged(old, "old"), tagged(new, "new")
+
+
+_MERGE_UPDATES = ["o_custkey", "o_orderstatus", "price", "o_orderdate", "tag"]
+
+
+@query("merge_snapshot", _MERGED)
+def merge(t: Tables) -> DataFrame:
+    merged = merge_snapshot(*_merge_sides(t), ["o_orderkey"], "h", _MERGE_UPDATES)
+    return merged.select("o_orderkey", "tag", "made", double("price"))
+
+
+@query("merge_by_hash", _MERGED)
+def merge_hash_first(t: Tables) -> DataFrame:
+    merged = merge_by_hash(*_merge_sides(t), ["o_orderkey"], "h", _MERGE_UPDATES)
     return merged.select("o_orderkey", "tag", "made", double("price"))
 
 

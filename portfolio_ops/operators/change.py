@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portfolio_ops.functions.exprs import c, is_true, like_any
+from portfolio_ops.session import stage
 
 
 def _complete(keys: Sequence[str]) -> Column:
@@ -78,6 +79,65 @@ def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], ha
     return joined.select(*[value(n) for n in target.columns])
 
 
+NEW, CHANGED, GONE = "new", "changed", "gone"
+
+
+def merge_decisions(target: DataFrame, source: DataFrame, keys: Sequence[str], hash_col: str) -> DataFrame:
+    """(keys, stored hash ``_old``, ``_verdict``) for the complete keys that a merge touches.
+
+    A full outer join of keys and hashes alone; keys whose hashes agree, or of which either is
+    missing, are not listed. Copies of a stored key are judged each by its own hash.
+    """
+    stored = target.filter(_complete(keys)).select(
+        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col(hash_col).alias("_old"), F.lit(True).alias("_in_t"))
+    fresh = reject_repeated_keys(source.filter(_complete(keys)).select(*keys, F.col(hash_col).alias("_new")),
+                                 keys).withColumn("_in_s", F.lit(True))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
+    verdict = (F.when(F.col("_in_t").isNull(), NEW).when(F.col("_in_s").isNull(), GONE)
+               .when(is_true(F.col("_old") != F.col("_new")), CHANGED))
+    return (stored.join(fresh, on, "full").withColumn("_verdict", verdict).filter("_verdict is not null")
+            .select(*[F.coalesce(k, f"_t_{k}").alias(k) for k in keys], "_old", "_verdict"))
+
+
+def merge_by_hash(target: DataFrame, source: DataFrame, keys: Sequence[str], hash_col: str,
+                  update_cols: Sequence[str], delete_missing: bool = True) -> DataFrame:
+    """The rows of ``merge_snapshot``, for tables of which a load changes little.
+
+    Keys and hashes are joined first and the touched keys staged; wide rows are then looked up
+    by these. While the touched keys are few, Spark broadcasts them by their measured size and
+    no wide row is shuffled; when most rows change, ``merge_snapshot`` moves less. Both sides
+    are read more than once, so pass stored or staged tables.
+    """
+    missing = [n for n in target.columns if n not in source.columns]
+    if missing:
+        raise ValueError(f"source lacks target columns {missing}")
+    touched = stage(merge_decisions(target, source, keys, hash_col), "decisions")
+
+    def having(*verdicts: str, old: bool = False) -> DataFrame:
+        names = [F.col(k).alias(f"_d_{k}") for k in keys]
+        return touched.filter(F.col("_verdict").isin(*verdicts)).select(
+            *names, *([F.col("_old").alias("_d_old")] if old else []))
+    by_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_d_{k}") for k in keys])
+    by_row = by_key & F.col(hash_col).eqNullSafe(F.col("_d_old"))
+    as_stored = [F.col(n).cast(target.schema[n].dataType).alias(n) for n in target.columns]
+
+    dropped = having(CHANGED, GONE, old=True) if delete_missing else having(CHANGED, old=True)
+    kept = target.join(dropped, by_row, "left_anti")
+    if delete_missing:
+        kept = kept.filter(_complete(keys))     # a missing key part never matches a source row
+    added = source.filter(_complete(keys)).join(having(NEW), by_key, "left_semi") \
+        .unionByName(source.filter(~_complete(keys))).select(*as_stored)
+
+    taken = set(update_cols) | {hash_col}
+    old_rows = target.join(having(CHANGED, old=True), by_row, "left_semi")
+    new_rows = source.join(having(CHANGED), by_key, "left_semi").select(
+        *[F.col(k).alias(f"_s_{k}") for k in keys],
+        *[F.col(n).cast(target.schema[n].dataType).alias(f"_n_{n}") for n in target.columns if n in taken])
+    both = old_rows.join(new_rows, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in keys]))
+    changed = both.select(*[F.col(f"_n_{n}").alias(n) if n in taken else F.col(n) for n in target.columns])
+    return kept.unionByName(added).unionByName(changed)
+
+
 def not_stored(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose keys are not in the target.
 

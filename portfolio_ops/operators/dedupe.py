@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from portfolio_ops.session import stage
+
 
 def first_per_key(df: DataFrame, keys: Sequence[Column | str],
                   order: Sequence[Column]) -> DataFrame:
@@ -51,3 +53,20 @@ def distinct_text(df: DataFrame, columns: Sequence[str], fold) -> DataFrame:
     keyed = df.groupBy(*[(fold(name) if name in text else F.col(name)).alias(f"_k_{name}")
                          for name in columns])
     return keyed.agg(*[F.min(name).alias(name) for name in columns]).select(*columns)
+
+
+def distinct_rows(df: DataFrame, columns: Sequence[str], fold) -> DataFrame:
+    """``distinct_text`` for wide rows of which few are repeated.
+
+    Rows are counted by a 64-bit digest of what is compared, so eight bytes a row are shuffled.
+    Rows whose digest occurs once are distinct as they are; only the others are compared by
+    their columns, so rows that merely share a digest stay apart. The rows are staged, as
+    they are read again once the digests are known.
+    """
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    digest = F.xxhash64(*[fold(n) if n in text else F.col(n) for n in columns])
+    rows = stage(df.select(*columns, digest.alias("_digest")), "distinct")
+    repeated = rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_digest")
+    once = rows.join(repeated, "_digest", "left_anti").select(*columns)
+    again = rows.join(repeated, "_digest", "left_semi").select(*columns)
+    return once.unionByName(distinct_text(again, columns, fold))

@@ -13,7 +13,7 @@ from portfolio_ops.functions import fixed_values as fv
 from portfolio_ops.functions.exprs import (
     folded, is_true, map_literal, same_text, source_priority, text_in)
 from portfolio_ops.operators.change import drop_superseded
-from portfolio_ops.operators.dedupe import distinct_text, first_per_key
+from portfolio_ops.operators.dedupe import distinct_rows, distinct_text, first_per_key
 from portfolio_ops.operators.filters import changed_since, delete_where, stored_state, touched_at, touched_since
 from portfolio_ops.operators.lookups import lookup
 from portfolio_ops.schemas import POLICY_ALL
@@ -127,7 +127,8 @@ def changed_policies(inputs: PolicyInputs, stored: DataFrame, mark, first_load:
         return f"{side}.{name}"
 
     found = select_for(rows.select(*[value(n) for n in fv.POLICY_COLUMNS]), POLICY_ALL)
-    return distinct_text(found, found.columns, folded)
+    # a first load is the whole table, so only digests are shuffled; a delta is small
+    return (distinct_rows if first_load else distinct_text)(found, found.columns, folded)
 
 
 def policy_delta(inputs: PolicyInputs, stored: DataFrame) -> DataFrame:

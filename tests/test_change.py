@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from portfolio_ops.functions.exprs import folded
 from portfolio_ops.operators.change import (
-    drop_superseded, fill_from_first, fill_from_group_max, insert_new, merge_snapshot)
+    drop_superseded, fill_from_first, fill_from_group_max, insert_new, merge_by_hash, merge_snapshot)
 from portfolio_ops.operators.contract import Contract, ContractViolation, ForeignKey, check_contract, enforce, quarantine
 from portfolio_ops.operators.filters import changed_since, delete_where, high_water_mark, latest_period, stored_state
 from portfolio_ops.operators.lookups import lookup, with_one_row
@@ -43,6 +43,52 @@ def test_merge_refuses_repeated_source_keys(spark):
         merge_snapshot(spark.createDataFrame(ROWS, SCHEMA), source, ["a", "b"], "h", ["v"]).collect()
 
 
+@pytest.mark.parametrize("delete_missing", [True, False])
+@pytest.mark.parametrize("share", [0, 1, 50, 100])
+def test_merge_by_hash_is_the_merge(spark, share, delete_missing):
+    """Of 200 keys ``share`` percent change; keys are new, gone, incomplete and, stored, repeated."""
+    stored = [(f"k{i}", 1, "x", f"h{i}", "old") for i in range(200)] + ROWS + [
+        ("k3", 1, "z", "other", "old"), ("k4", 1, "z", None, "old")]
+    fresh = [(f"k{i}", 1, "y", f"h{i}" if i % 100 >= share else f"n{i}", "new") for i in range(3, 205)] + NEW
+    target, source = spark.createDataFrame(stored, SCHEMA), spark.createDataFrame(fresh, SCHEMA)
+    sides = (target, source, ["a", "b"], "h", ["v"], delete_missing)
+    assert rows(merge_by_hash(*sides)) == rows(merge_snapshot(*sides))
+
+
+def test_merge_by_hash_edges(spark):
+    source = spark.createDataFrame([NEW[0], NEW[0]], SCHEMA)
+    target, empty = spark.createDataFrame(ROWS, SCHEMA), spark.createDataFrame([], SCHEMA)
+    with pytest.raises(Exception, match="repeated source key: same, 1"):
+        merge_by_hash(target, source, ["a", "b"], "h", ["v"]).collect()
+    assert rows(merge_by_hash(target, empty, ["a", "b"], "h", ["v"])) == []
+    assert rows(merge_by_hash(empty, target, ["a", "b"], "h", ["v"])) == rows(target)
+    with pytest.raises(ValueError, match="lacks target columns"):
+        merge_by_hash(target, source.drop("made"), ["a", "b"], "h", ["v"])
+
+
+def test_few_changes_shuffle_no_wide_row(spark):
+    from portfolio_ops.session import stage
+    wide = spark.range(20_000).selectExpr("id AS a", "md5(cast(id AS string)) AS v", "id AS h")
+    target, source = stage(wide), stage(wide.withColumn("h", F.when(F.col("a") % 5000 == 0, -1).otherwise(F.col("h"))))
+    merged = merge_by_hash(target, source, ["a"], "h", ["v"])
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_distinct_rows_is_distinct_text(spark):
+    from portfolio_ops.operators.dedupe import distinct_rows, distinct_text
+    data = [("A ", 1, 0.0), ("a", 1, -0.0), (None, 1, None), (None, 1, None), ("b", None, 2.0), (None, None, None),
+            ("x", None, None), (None, 2, None)] + [("Hot", 5, 1.5), ("hot ", 5, 1.5)] * 50
+    df = spark.createDataFrame(data, "t string, n int, d double")
+    for part in (df, df.limit(0)):
+        assert rows(distinct_rows(part, df.columns, folded)) == rows(distinct_text(part, df.columns, folded))
+    # one digest for all rows: the columns decide
+    clash = df.select(F.lit(None).cast("string").alias("p"), "t")
+    both = clash.unionByName(clash.select(F.col("t").alias("p"), F.lit(None).cast("string").alias("t")))
+    assert rows(distinct_rows(both, ["p", "t"], folded)) == rows(distinct_text(both, ["p", "t"], folded))
+
+
 def test_insert_new_keeps_copies_and_null_keys(spark):
     target = spark.createDataFrame([("k", 1), (None, 1)], "k string, v int")
     source = spark.createDataFrame([("k", 2), ("n", 3), ("n", 4), (None, 5)], "k string, v int")
