@@ -35,6 +35,8 @@ def _byte_kinds() -> np.ndarray:
 
 BYTE_KINDS = _byte_kinds()
 OWN = 17  # features of a line itself; bias first
+LONG = 4096         # lines from which on a document is read alone, block by block
+BLOCK_CHARS = 1 << 15
 FEATURES = 1 + 3 * (OWN - 1)
 
 
@@ -58,6 +60,65 @@ def read_lines(texts: list[str]) -> Lines:
 
 
 def _read(texts: list[str]) -> Lines:
+    own, size, bounds = _own(texts)
+    first, last = np.zeros(len(size), bool), np.zeros(len(size), bool)
+    first[bounds[:-1]], last[bounds[1:] - 1] = True, True
+    before = np.roll(own[:, 1:], 1, axis=0)
+    after = np.roll(own[:, 1:], -1, axis=0)
+    before[first], after[last] = 0, 0
+    return Lines(np.concatenate([own, before, after], axis=1), size, bounds)
+
+
+def line_blocks(text: str):
+    """The text cut at line ends, so that a block ends with the first one after ``BLOCK_CHARS``."""
+    start = 0
+    while (cut := text.find("\n", start + BLOCK_CHARS)) >= 0:
+        yield text[start:cut]
+        start = cut + 1
+    yield text[start:]
+
+
+def scan(unary: np.ndarray, change: np.ndarray) -> np.ndarray:
+    """Forward log odds of good along one chain, exact, without a step for each line.
+
+    The chain is cut into rows of equal length that advance side by side: once as products of
+    2 x 2 matrices (in logarithms), which give the message at each row's start, then as messages.
+    """
+    (t00, t01), (t10, t11) = change
+    n = len(unary)
+    width = max(1, int(np.sqrt(n)))
+    rows = -(-n // width)
+    steps = np.zeros((rows, width))
+    steps.ravel()[:n] = unary
+    # from a row's state before it, bad or good, to the state at its end
+    bad = [np.zeros(rows), np.full(rows, -np.inf)]
+    good = [np.full(rows, -np.inf), np.zeros(rows)]
+    for k in range(width):
+        for state in (bad, good):
+            b, g = state
+            state[0], state[1] = (np.logaddexp(b + t00, g + t10), np.logaddexp(b + t01, g + t11) + steps[:, k])
+    start = np.zeros(rows)
+    for r in range(1, rows):
+        if r == 1:      # the first line has no line before it, so the first row starts with its message
+            m = steps[0, 0]
+            for k in range(1, width):
+                m = steps[0, k] + np.logaddexp(m + t11, t01) - np.logaddexp(m + t10, t00)
+        else:
+            m = start[r - 1]
+            m = np.logaddexp(m + good[1][r - 1], bad[1][r - 1]) - np.logaddexp(m + good[0][r - 1], bad[0][r - 1])
+        start[r] = m
+    at = start
+    for k in range(width):
+        moved = np.logaddexp(at + t11, t01) - np.logaddexp(at + t10, t00)
+        if k == 0:
+            moved[0] = 0
+        at = moved + steps[:, k]
+        steps[:, k] = at
+    return steps.ravel()[:n]
+
+
+def _own(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of each line by itself, its bytes, and where each text's lines begin."""
     raw = np.frombuffer("\n".join(texts).encode("utf-8") + b"\n", np.uint8)
     ends = np.flatnonzero(raw == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -87,12 +148,7 @@ def _read(texts: list[str]) -> Lines:
         np.log1p(words) / 6, np.minimum(size / some, 40) / 20, repeats, size == 0,
         np.tanh(4 * counts[:, SYMBOL] / some), np.tanh(4 * counts[:, BANG] / some),
         np.tanh(6 * share[:, UPPER])], axis=1)
-    first, last = np.zeros(n, bool), np.zeros(n, bool)
-    first[bounds[:-1]], last[bounds[1:] - 1] = True, True
-    before = np.roll(own[:, 1:], 1, axis=0)
-    after = np.roll(own[:, 1:], -1, axis=0)
-    before[first], after[last] = 0, 0
-    return Lines(np.concatenate([own, before, after], axis=1), size, bounds)
+    return own, size, bounds
 
 
 @dataclass
@@ -129,8 +185,51 @@ class QualityModel:
         return _sigmoid(forward + backward)
 
     def means(self, texts: list[str]) -> np.ndarray:
-        """Length-weighted share of good text in each document; an empty line weighs one."""
-        return self.mean_of(read_lines(texts))
+        """Length-weighted share of good text in each document; an empty line weighs one.
+
+        Documents are read in runs of fewer than ``LONG`` lines; one of more lines is read alone,
+        so that features are held of one block of its lines only.
+        """
+        out = np.empty(len(texts))
+        lines = [t.count("\n") + 1 for t in texts]
+        start = 0
+        while start < len(texts):
+            stop, held = start + 1, lines[start]
+            if held >= LONG:
+                out[start] = self.long_mean(texts[start])
+            else:
+                while stop < len(texts) and held + lines[stop] < LONG:
+                    held += lines[stop]
+                    stop += 1
+                out[start:stop] = self.mean_of(read_lines(texts[start:stop]))
+            start = stop
+        return out
+
+    def long_mean(self, text: str) -> float:
+        """The mean of one document of many lines, with three numbers held for each line."""
+        inner = OWN - 1
+        own_part = self.weights[:OWN]
+        as_before, as_after = self.weights[OWN:OWN + inner], self.weights[OWN + inner:]
+        unary, sizes, carried = [], [], 0.0
+        for block in line_blocks(text):
+            own, size, _ = _own([block])
+            value, ahead, back = own @ own_part, own[:, 1:] @ as_before, own[:, 1:] @ as_after
+            value[1:] += ahead[:-1]
+            value[:-1] += back[1:]
+            if unary:
+                value[0] += carried
+                unary[-1][-1] += back[0]
+            carried = ahead[-1]
+            unary.append(value)
+            sizes.append(np.maximum(size, 1).astype(np.float32 if size.max() < 1 << 24 else np.float64))
+        chain, weight = np.concatenate(unary), np.concatenate(sizes)
+        del unary, sizes
+        odds = scan(chain, self.change)
+        odds += scan(chain[::-1], self.change.T)[::-1]
+        odds -= chain
+        odds *= 0.5
+        np.tanh(odds, out=odds)     # the sigmoid of the log odds is half of one and this
+        return float(0.5 + 0.5 * (odds @ weight) / weight.sum(dtype=np.float64))
 
     def mean_of(self, lines: Lines) -> np.ndarray:
         weight = np.maximum(lines.size, 1).astype(np.float64)

@@ -1,5 +1,8 @@
 import itertools
 import os
+import pathlib
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -50,6 +53,31 @@ def test_quality_runs_do_not_change_scores():
 
 
 @needs_tables
+@pytest.mark.parametrize("change", [np.zeros((2, 2)), np.array([[3.0, -3.0], [-2.0, 4.0]])])
+def test_long_documents_have_the_same_mean(monkeypatch, change):
+    rng = np.random.default_rng(3)
+    model = quality.QualityModel(rng.normal(size=quality.FEATURES), change)
+    monkeypatch.setattr(quality, "BLOCK_CHARS", 200)
+    for n in (1, 2, 3, 50, 5000):
+        text = "\n".join("".join(rng.choice(list("abC !#1é "), rng.integers(0, 30))) for _ in range(n))
+        assert abs(model.long_mean(text) - model.mean_of(quality.read_lines([text]))[0]) < 1e-9
+        unary = rng.normal(0, 3, n)
+        forward, _ = model.messages(unary, np.array([0, n]))
+        assert np.allclose(quality.scan(unary, change), forward, atol=1e-8)
+    texts = ["a\nb"] * 3000 + ["\n" * 9000, "", "x\n" * 4095, "last"]
+    whole = [model.mean_of(quality.read_lines([t]))[0] for t in texts]
+    assert np.allclose(model.means(texts), whole, atol=1e-9)
+
+
+def test_very_many_lines_need_little_memory():
+    code = ("import resource, numpy as np; from portfolio_ops.llm import quality as q; "
+            "m = q.QualityModel(np.ones(q.FEATURES), np.eye(2)); m.means(['\\n' * 10_000_000]); "
+            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         env={**os.environ, "PYTHONPATH": str(pathlib.Path(quality.__file__).parents[2])})
+    assert int(out.stdout) < 500
+
+
 def test_quality_held_out(spark):
     docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
     model = quality.train(docs, labels)
