@@ -24,7 +24,7 @@ from portfolio_ops.functions.exprs import (
     MONEY, RATE, RATIO, flag_off, flag_on, is_empty, is_true, negate_where,
     reporting_currency, required, settlement_to_usd, zero_to_one)
 from portfolio_ops.functions.hashing import row_hash
-from portfolio_ops.operators.change import merge_snapshot
+from portfolio_ops.operators.change import merge_by_hash
 from portfolio_ops.operators.dedupe import latest_per_key
 from portfolio_ops.operators.lookups import with_one_row
 from portfolio_ops.operators.ordered import (
@@ -322,9 +322,9 @@ def merge_ledger(stored: DataFrame, ledger: DataFrame, latest_run: DataFrame,
     Stored rows of ``held`` exposures stay as they are: those were left out of the ledger,
     they have not vanished.
     """
-    source = ledger_source(ledger, latest_run)
     if held is None:
-        return select_for(merge_snapshot(stored, source, LEDGER_KEYS, "row_hash_key", LEDGER_UPDATES),
+        source = stage(ledger_source(ledger, latest_run), "merged")
+        return select_for(merge_by_hash(stored, source, LEDGER_KEYS, "row_hash_key", LEDGER_UPDATES),
                           LEDGER_TABLE)
     names = held.select(F.col(EXPOSURE).alias("exposure_reference"))
     merged = merge_ledger(stored.join(names, "exposure_reference", "left_anti"), ledger, latest_run)
