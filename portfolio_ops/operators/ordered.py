@@ -25,8 +25,11 @@ from portfolio_ops.session import stage
 
 # a group above this many rows is cut into segments
 GROUP_ROWS = 4_000_000
-# rows that make a segment worth a task of its own
+# rows that make a segment worth a task of its own, while there are no more than this many segments
 SEGMENT_ROWS = 10_000
+MANY_SEGMENTS = 200
+# rows up to which the segments of a larger table grow before their number does
+FULL_SEGMENT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -151,8 +154,13 @@ def segment_count(rows: int, group_rows: int, segment_rows: int = SEGMENT_ROWS)
     Range partitioning cuts at quantiles of (keys, order) over all of them, so several groups
     share a partition and a group is cut only where it is larger. Twice what the rows fill,
     as the quantiles are sampled; never segments under half of ``segment_rows`` on average.
+
+    Each segment costs a block of every task before it and a sample on the driver, so above
+    ``MANY_SEGMENTS`` segments grow, up to ``FULL_SEGMENT_ROWS`` or ``group_rows``, before there are more.
     """
-    return max(1, -(-2 * rows // max(group_rows, segment_rows)))
+    def filled(size: int) -> int:
+        return max(1, -(-2 * rows // max(group_rows, size)))
+    return min(filled(segment_rows), max(MANY_SEGMENTS, filled(FULL_SEGMENT_ROWS)))
 
 
 def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS,

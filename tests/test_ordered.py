@@ -76,6 +76,12 @@ def test_segments_follow_from_all_rows(rows, group_rows, want):
     assert segment_count(rows, group_rows) == want
 
 
+@pytest.mark.parametrize("rows, group_rows, want", [
+    (20_000_000, 5, 200), (200_000_000, 300, 400), (100_000_000, 4_000_000, 50)])
+def test_segments_of_large_tables_grow_before_their_number_does(rows, group_rows, want):
+    assert segment_count(rows, group_rows) == want
+
+
 def test_many_groups_just_too_large_share_segments(spark):
     """5,000 groups of six rows with a limit of five fill a few range partitions, not thousands."""
     df = spark.range(30_000).selectExpr("id % 5000 as k", "id as t", "id % 7 as v")
