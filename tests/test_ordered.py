@@ -92,6 +92,28 @@ def test_many_groups_just_too_large_share_segments(spark):
     assert collect(got, "k", "t", "pos", "run", "prev") == collect(plain(df, one), "k", "t", "pos", "run", "prev")
 
 
+@pytest.mark.parametrize("hot", [0, 900])
+def test_large_groups_are_looked_for_by_buckets(spark, tmp_path, hot):
+    """Keys are counted only in large buckets, so a table of small groups shuffles no keys."""
+    rows = spark.range(3000).selectExpr(f"if(id < {hot}, 'hot', cast(id as string)) as k", "id as t")
+    asked = []
+
+    class Seen:
+        def __init__(self, df):
+            self.df = df
+
+        def __getattr__(self, name):
+            return getattr(self.df, name)
+
+        def groupBy(self, *keys):
+            asked.append([str(k) for k in keys])
+            return self.df.groupBy(*keys)
+    large = large_groups(Seen(rows), ["k"], 500)
+    assert (large is None) == (hot == 0) and ["k"] not in asked and len(asked) == 1
+    if hot:
+        assert [r["k"] for r in large.keys.collect()] == ["hot"]
+
+
 def test_small_tables_need_no_grouped_count(spark, monkeypatch):
     import portfolio_ops.operators.ordered as ordered
     monkeypatch.setattr(ordered, "stage", lambda *a: pytest.fail("nothing is staged"))
