@@ -23,8 +23,9 @@ def _case(col, mapping):
 
 
 def feed(t: Tables) -> DataFrame:
-    rows = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(t.customer, F.col("o_custkey") == F.col("c_custkey")))
+    # the few rows first, so that lines are shuffled once
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    rows = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     number, priority = F.col("l_linenumber"), F.col("o_orderpriority")
     key = F.concat(F.lit("K"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))
     begin = F.make_date(F.year("o_orderdate") + YEARS_LATER, F.month("o_orderdate"), F.lit(15))

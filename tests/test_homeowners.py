@@ -121,3 +121,32 @@ def test_no_array_per_key(make):
     rows = make(s.FEED, FEED)
     plan = build_sections(rows, section_groups(rows), build_policy(rows, section_groups(rows)))
     assert "collect_list" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_references_of_several_keys_are_joined(spark):
+    from portfolio_ops.operators.dedupe import keep_max_key
+    rows = [("a", "k1"), ("a", "k2"), ("a", None), ("b", "k1"), ("b", "k1"), ("c", None), (None, "k1"), (None, "k0")]
+    kept = keep_max_key(spark.createDataFrame(rows, "r string, k string"), "r", "k")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "_oldest" in plan
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows if r != ("a", "k1")), key=str)
+
+
+def test_lines_of_the_feed_are_joined_once(spark):
+    """Customers join the orders, so lines meet one table and not two in turn."""
+    from types import SimpleNamespace
+    from portfolio_ops.analogues.homeowners import feed
+    tables = SimpleNamespace(
+        lineitem=spark.range(5).selectExpr(
+            "id l_orderkey", "id l_partkey", "id l_suppkey", "1 l_linenumber", "1d l_quantity", "1d l_extendedprice",
+            "0d l_discount", "0d l_tax", "'N' l_returnflag", "'F' l_linestatus", "timestamp'1995-01-01' l_shipdate"),
+        orders=spark.range(5).selectExpr("id o_orderkey", "id o_custkey", "'F' o_orderstatus", "1d o_totalprice",
+                                         "timestamp'1995-01-01' o_orderdate", "'5-LOW' o_orderpriority"),
+        customer=spark.range(5).selectExpr("id c_custkey", "'BUILDING' c_mktsegment"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = feed(tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    assert len(joins) == 2 and "l_orderkey" in joins[0] and "o_custkey" in joins[1]
