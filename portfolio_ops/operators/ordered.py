@@ -77,18 +77,25 @@ def segmented(df: DataFrame, spec: Ordered, segments: int | None = None) -> Data
            .withColumn("_seg", F.spark_partition_id()))
     cut = stage(cut, "segments")  # segment numbers must be the same in every read
 
-    seq = Window.partitionBy(*spec.keys, "_seg").orderBy(*spec.order)
+    whole = Window.partitionBy(*spec.keys, "_seg")
+    seq = whole.orderBy(*spec.order)
     upto = seq.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside: dict[str, Column] = {"_pos": F.row_number().over(seq).cast("long")}
+    inside: dict[str, Column] = {"_pos": F.row_number().over(seq).cast("long"),
+                                 "_seg_rows": F.count(F.lit(1)).over(whole)}
     for out, name in spec.running.items():
         inside[f"_in_{out}"] = F.sum(name).over(upto)
     for out, name in spec.lags.items():
         inside[f"_in_{out}"] = F.lag(name).over(seq)
     for out, name in spec.leads.items():
         inside[f"_in_{out}"] = F.lead(name).over(seq)
-    local = cut.withColumns(inside)
 
-    summary = local.groupBy(*spec.keys, "_seg").agg(
+    # a bound between two segments cuts at most one group, so these and their segments are few,
+    # whatever the number of groups and rows
+    cut_groups = (cut.groupBy(*[F.col(k).alias(f"_k_{k}") for k in spec.keys])
+                  .agg(F.min("_seg").alias("_first"), F.max("_seg").alias("_last")).filter("_first < _last"))
+    in_cut = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in spec.keys])
+    parts = cut.join(F.broadcast(cut_groups), in_cut, "left_semi")
+    summary = parts.withColumns(inside).groupBy(*spec.keys, "_seg").agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.sum(name).alias(f"_sum_{out}") for out, name in spec.running.items()],
         *[F.max_by(name, "_pos").alias(f"_last_{out}") for out, name in spec.lags.items()],
@@ -99,9 +106,8 @@ def segmented(df: DataFrame, spec: Ordered, segments: int | None = None) -> Data
     earlier = by_seg.rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         *[F.col(k).alias(f"_c_{k}") for k in spec.keys], F.col("_seg").alias("_c_seg"),
-        F.col("_rows").alias("_seg_rows"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(group).alias("_size"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_cut_before"),
+        F.sum("_rows").over(group).alias("_cut_size"),
         *[F.sum(f"_sum_{out}").over(earlier).alias(f"_carry_{out}") for out in spec.running],
         *[F.lag(f"_last_{out}").over(by_seg).alias(f"_carry_{out}") for out in spec.lags],
         *[F.lead(f"_first_{out}").over(by_seg).alias(f"_carry_{out}") for out in spec.leads],
@@ -109,7 +115,9 @@ def segmented(df: DataFrame, spec: Ordered, segments: int | None = None) -> Data
     same = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in spec.keys],
                   F.col("_seg") == F.col("_c_seg"))
-    rows = local.join(carry, same)
+    # no row of a group that is not cut has a match: it starts and ends in its segment
+    rows = cut.withColumns(inside).join(F.broadcast(carry), same, "left").withColumns({
+        "_before": F.coalesce("_cut_before", F.lit(0)), "_size": F.coalesce("_cut_size", "_seg_rows")})
 
     types = {f.name: f.dataType for f in rows.schema.fields}
     new: dict[str, Column] = {}

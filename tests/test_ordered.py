@@ -167,3 +167,14 @@ def test_keep_max_key(spark):
     df = spark.createDataFrame([("r", "9"), ("r", "10"), ("r", None), (None, "1"), (None, "2")], "ref string, k string")
     assert collect(keep_max_key(df, "ref", "k"), "ref", "k") == sorted(
         [("r", "9"), ("r", None), (None, "1"), (None, "2")], key=repr)  # text order: '9' > '10'
+
+
+def test_rows_are_not_moved_to_meet_the_carried_values(spark, rows):
+    """Only groups that a bound cuts carry values across, at most one per bound: those are broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = segmented(rows, spec())._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
