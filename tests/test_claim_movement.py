@@ -1,4 +1,5 @@
 import datetime as dt
+from contextlib import contextmanager
 from dataclasses import fields
 from decimal import Decimal as D
 
@@ -7,13 +8,27 @@ from pyspark.sql import functions as F
 
 from portfolio_ops import schemas as s
 from portfolio_ops.functions import fixed_values as fv
+from portfolio_ops.plans import claim_movement
 from portfolio_ops.plans.claim_movement import (
     ClaimInputs, LEDGER_UPDATES, claim_movement_ledger, ledger_source, merge_ledger,
     movements_without_rate)
+from portfolio_ops.session import stage
 
 SOURCE = {"source_system": fv.CLAIM_SOURCE}
 
 
+@contextmanager
+def settings(spark, **wanted):
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def day(n):
     return dt.datetime(2024, 1, n)
 
@@ -184,3 +199,33 @@ def test_merge(spark, make, ledger):
     source = ledger_source(ledger, run("r1"))
     assert len(source.first()["row_hash_key"]) == 32
     assert "settlement_source_currency" not in LEDGER_UPDATES and "created_by" not in LEDGER_UPDATES
+
+
+def test_no_wide_rows_are_written_or_moved_for_group_numbers(spark, inputs, monkeypatch):
+    widths = {}
+    monkeypatch.setattr(claim_movement, "stage", lambda df, label="stage": (
+        widths.update({label: len(df.columns)}), stage(df, label))[1])
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        plan = claim_movement_ledger(inputs)._jdf.queryExecution().executedPlan().toString()
+    assert max(widths.values()) <= 5
+    union = next(i for i, line in enumerate(plan.splitlines()) if line.lstrip(" :").startswith("+- Union"))
+    assert "Exchange" not in "\n".join(plan.splitlines()[:union])
+
+
+def test_join_near_is_the_join(spark):
+    schema = "k string, n int, {0} string, {1} decimal(19,4)"
+    left = spark.createDataFrame([("a", 1, "x", D(1)), ("a", 1, "y", None), ("a", 2, "z", D(2)), (None, 1, "u", D(3)),
+                                  ("b", None, "v", D(4)), ("c", 1, None, None)], schema.format("l", "p"))
+    right = spark.createDataFrame([("a", 1, "1", D(1)), ("a", 1, None, None), ("b", None, "3", D(4)), (None, 1, "4", None),
+                                   ("c", 1, "5", D(6)), ("d", 1, "6", D(7))], schema.format("r", "q"))
+    got, want = claim_movement.join_near(left, right, ["k", "n"]), left.join(right, ["k", "n"])
+    assert got.columns == want.columns and want.count() == 5
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_merge_takes_a_ledger_with_hashes_as_it_is(spark, make, ledger, monkeypatch):
+    run = make(s.LATEST_RUN, [{"id": "r1"}])
+    source = stage(ledger_source(ledger, run))
+    monkeypatch.setattr(claim_movement, "ledger_source", None)
+    merged = merge_ledger(spark.createDataFrame([], s.LEDGER_TABLE), source, run)
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, source.select(merged.columns).collect()))
