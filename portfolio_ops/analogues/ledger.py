@@ -238,7 +238,10 @@ def ledger_merge(t: Tables) -> DataFrame:
     """Today's ledger merged into a stored one. By the last digit of the exposure: 1 is new, 2
     has changed (the unconverted currency is set on insert only), 3 has changed but no stored
     hash, 4 also has a stored exposure that has vanished; the others are unchanged."""
-    today = stage(claim_movement_ledger(claim_inputs(t)), "today")
+    def run(name: str) -> DataFrame:
+        return t.spark.createDataFrame([(name,)], "id string")
+    source = stage(ledger_source(claim_movement_ledger(claim_inputs(t)), run("r2")), "today")
+    today = source.select(*LEDGER.fieldNames())
     digit = F.right("exposure_reference", F.lit(1))
     old = F.lit("old")
     before = today.filter(digit != "1").withColumns({
@@ -246,11 +249,9 @@ def ledger_merge(t: Tables) -> DataFrame:
         "settlement_source_currency": F.when(digit == "2", old).otherwise(F.col("settlement_source_currency"))})
     gone = today.filter(digit == "4").withColumn(
         "exposure_reference", F.concat(F.lit("X"), "exposure_reference"))
-
-    def run(name: str) -> DataFrame:
-        return t.spark.createDataFrame([(name,)], "id string")
-    stored = ledger_source(before.unionByName(gone), run("r1")).withColumn(
-        "row_hash_key", F.when(digit != "3", F.col("row_hash_key")))
-    merged = merge_ledger(stored, today, run("r2"))
+    # the merge reads the stored table more than once, so the derived one is stored too
+    stored = stage(ledger_source(before.unionByName(gone), run("r1")).withColumn(
+        "row_hash_key", F.when(digit != "3", F.col("row_hash_key"))), "stored")
+    merged = merge_ledger(stored, source, run("r2"))
     return merged.select("exposure_reference", "sequence_number", "movement_reference", "settlement_currency",
                          "settlement_source_currency", "payment_type", "process_id")

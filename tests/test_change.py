@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from portfolio_ops.functions.exprs import folded
+from portfolio_ops.operators import change
 from portfolio_ops.operators.change import (
     drop_superseded, fill_from_first, fill_from_group_max, insert_new, merge_by_hash, merge_snapshot)
 from portfolio_ops.operators.contract import Contract, ContractViolation, ForeignKey, check_contract, enforce, quarantine
@@ -172,3 +173,14 @@ def test_migration(spark):
     sat = spark.createDataFrame([("l1", 5)], "LNK string, v int")
     link = spark.createDataFrame([("l1", "h1"), ("l1", "h1")], "LNK string, HUB string")
     assert rows(reparent(sat, link, "LNK", "HUB")) == [("l1", 5, "h1")]
+
+
+@pytest.mark.parametrize("changed, joins_all", [(5, False), (30, True)])
+def test_many_touched_keys_are_merged_in_one_join(spark, monkeypatch, changed, joins_all):
+    seen = []
+    monkeypatch.setattr(change, "merge_snapshot", lambda *a: (seen.append(1), merge_snapshot(*a))[1])
+    target = spark.createDataFrame([(f"k{i}", 1, "x", f"h{i}", "old") for i in range(100)], SCHEMA)
+    source = spark.createDataFrame([(f"k{i}", 1, "y", f"n{i}" if i < changed else f"h{i}", "new") for i in range(100)], SCHEMA)
+    merged = merge_by_hash(target, source, ["a", "b"], "h", ["v"])
+    assert bool(seen) == joins_all
+    assert merged.filter("v = 'y' and made = 'old'").count() == changed and merged.count() == 100
