@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from portfolio_ops.operators.contract import Contract, check_contract, enforce
 from portfolio_ops.session import RELEASE, shuffles_released, stage
+from portfolio_ops.sources.snapshot import SnapshotTable
 
 DAY = datetime.datetime(1996, 5, 1)
 TABLES = {
@@ -74,7 +76,21 @@ def test_the_setting_is_put_back(spark):
     assert spark.conf.get(RELEASE) == was
 
 
-@pytest.mark.parametrize("name", ["vault_load_whole"])
+def test_published_rows_are_all_that_stays(spark, tmp_path):
+    rows, left = grouped(spark), Left(spark)
+    table = SnapshotTable(spark, str(tmp_path / "t"), rows.schema)
+    table.publish(rows, contract=Contract(("k",), {"PK": ("k",)}))
+    assert not left.files()
+    assert all(f.endswith(".zstd.parquet") for f in table.read().inputFiles())
+    left = Left(spark)
+    check_contract(rows, Contract(("k",), {"PK": ("k",)})).collect()
+    assert left.files()         # the helper sees shuffle files
+    left = Left(spark)
+    enforce(rows, Contract(("k",), {"PK": ("k",)}))
+    assert not left.files()
+
+
+@pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole"])
 def test_shuffles_go_with_their_statement(spark, folder, name):
     left = Left(spark)
     result = entry.queries()[name](spark, folder)
