@@ -34,7 +34,7 @@ def keep_max_key(df: DataFrame, reference: str, key: str,
     Rows without a reference or without a key are not comparable and stay. The
     maximum is a grouped aggregate joined back, so the rows of one reference are
     never gathered in one task. Only references with several keys are joined: where they are few, no row
-    is shuffled. ``reference_key`` and ``own_key`` give what is compared
+    is shuffled. They are staged, so that what finds them is off the disk when wide rows move. ``reference_key`` and ``own_key`` give what is compared
     where that is not the column itself, such as its folded text.
     """
     value = own_key if own_key is not None else F.col(key)
@@ -42,6 +42,7 @@ def keep_max_key(df: DataFrame, reference: str, key: str,
     newest = (df.filter(F.col(key).isNotNull())
               .groupBy(ref.alias("_ref")).agg(F.max(value).alias("_newest"), F.min(value).alias("_oldest"))
               .filter(F.col("_ref").isNotNull() & (F.col("_oldest") < F.col("_newest"))).drop("_oldest"))
+    newest = stage(newest, "newest")
     joined = df.withColumn("_own", ref).join(newest, F.col("_own") == F.col("_ref"), "left")
     keep = (F.col("_ref").isNull() | F.col(key).isNull()
             | (value == F.col("_newest")))

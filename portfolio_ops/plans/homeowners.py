@@ -129,7 +129,8 @@ def latest_records(feed: DataFrame, groups: DataFrame, per_key: DataFrame) -> Da
     """Records that are the latest of a section group, once for each such group, with the premium
     of their own group and the number of policy blocks of their key.
 
-    Which records these are follows from their keys alone; the wide rows are joined once.
+    Which records these are follows from their keys alone; the wide rows are joined once, when the keys
+    are staged and their shuffles gone.
     """
     per_latest = (groups.filter(F.col("_latest").isNotNull()).groupBy(F.col("_latest").alias("_key"))
                   .agg(F.count(F.lit(1)).alias("_times")))
@@ -138,6 +139,7 @@ def latest_records(feed: DataFrame, groups: DataFrame, per_key: DataFrame) -> Da
     hits = (feed.select(own.alias("_of"), number.alias("_oq"), record.alias("_record")).distinct()
             .join(known, (F.col("_of") == F.col("_p")) & (F.col("_oq") == F.col("_q"))).drop("_of", "_oq")
             .join(per_latest, F.col("_record") == F.col("_key")).drop("_key"))
+    hits = stage(hits, "hits")
     rows = feed.join(hits, (own == F.col("_p")) & (number == F.col("_q")) & (record == F.col("_record")))
     return repeated(rows.drop("_q", "_record"), "_times")
 

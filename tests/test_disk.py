@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from portfolio_ops.operators.contract import Contract, check_contract, enforce
+from portfolio_ops.operators.dedupe import keep_max_key
 from portfolio_ops.session import RELEASE, shuffles_released, stage
 from portfolio_ops.sources.snapshot import SnapshotTable
 
@@ -90,7 +91,16 @@ def test_published_rows_are_all_that_stays(spark, tmp_path):
     assert not left.files()
 
 
-@pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole"])
+def test_what_finds_the_newest_key_is_gone_when_rows_move(spark):
+    rows = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1"), (None, "1"), ("c", None)], "r string, k string")
+    left = Left(spark)
+    kept = keep_max_key(rows, "r", "k")
+    assert not left.files()
+    assert any("newest-" in f for f in kept.inputFiles())
+    assert sorted(map(tuple, kept.collect()), key=repr) == [("a", "2"), ("b", "1"), ("c", None), (None, "1")]
+
+
+@pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole", "homeowners_section", "homeowners_transaction"])
 def test_shuffles_go_with_their_statement(spark, folder, name):
     left = Left(spark)
     result = entry.queries()[name](spark, folder)
