@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portfolio_ops.session import stage
+from portfolio_ops.session import shuffles_released, stage
 
 # a group above this many rows is cut into segments
 GROUP_ROWS = 4_000_000
@@ -182,21 +182,22 @@ def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROW
     bucket, so only rows of such buckets are counted by their keys. That count is combined before its
     shuffle; its keys are staged only when there are large groups, of which at most ``rows / group_rows`` exist.
     """
-    total = df.count()
-    if total <= group_rows:
-        return None
-    if 4 * total <= group_rows * KEY_BUCKETS:
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
-        sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-        suspect = [r["_bucket"] for r in sizes.filter(F.col("_n") > group_rows).collect()]
-        if not suspect:
+    with shuffles_released(df.sparkSession):
+        total = df.count()
+        if total <= group_rows:
             return None
-        df = df.filter(bucket.isin(suspect))
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows)
-    rows = counted.agg(F.sum("_n")).first()[0]
-    if rows is None:
-        return None
-    return LargeGroups(stage(counted.drop("_n"), "large"), segment_count(rows, group_rows, segment_rows))
+        if 4 * total <= group_rows * KEY_BUCKETS:
+            bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
+            sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+            suspect = [r["_bucket"] for r in sizes.filter(F.col("_n") > group_rows).collect()]
+            if not suspect:
+                return None
+            df = df.filter(bucket.isin(suspect))
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows)
+        rows = counted.agg(F.sum("_n")).first()[0]
+        if rows is None:
+            return None
+        return LargeGroups(stage(counted.drop("_n"), "large"), segment_count(rows, group_rows, segment_rows))
 
 
 def split_by(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

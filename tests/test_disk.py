@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from portfolio_ops.operators.contract import Contract, check_contract, enforce
 from portfolio_ops.operators.dedupe import keep_max_key
+from portfolio_ops.operators.ordered import large_groups
 from portfolio_ops.session import RELEASE, shuffles_released, stage
 from portfolio_ops.sources.snapshot import SnapshotTable
 
@@ -88,6 +89,7 @@ def test_published_rows_are_all_that_stays(spark, tmp_path):
     assert left.files()         # the helper sees shuffle files
     left = Left(spark)
     enforce(rows, Contract(("k",), {"PK": ("k",)}))
+    assert large_groups(grouped(spark), ["k"], 3) is None
     assert not left.files()
 
 
@@ -100,7 +102,7 @@ def test_what_finds_the_newest_key_is_gone_when_rows_move(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == [("a", "2"), ("b", "1"), ("c", None), (None, "1")]
 
 
-@pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole", "homeowners_section", "homeowners_transaction"])
+@pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole", "claim_movement_ledger_segmented", "homeowners_section", "homeowners_transaction"])
 def test_shuffles_go_with_their_statement(spark, folder, name):
     left = Left(spark)
     result = entry.queries()[name](spark, folder)
