@@ -102,7 +102,8 @@ def test_what_finds_the_newest_key_is_gone_when_rows_move(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == [("a", "2"), ("b", "1"), ("c", None), (None, "1")]
 
 
-@pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole", "claim_movement_ledger_segmented", "homeowners_section", "homeowners_transaction"])
+@pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole", "claim_movement_ledger_segmented",
+                                  "homeowners_section", "homeowners_transaction", "ledger_merge"])
 def test_shuffles_go_with_their_statement(spark, folder, name):
     left = Left(spark)
     result = entry.queries()[name](spark, folder)
