@@ -24,6 +24,8 @@ from portfolio_ops.session import stage
 
 LEAF = 8
 SLACK = 1e-6  # chord lengths near 0 are known to about 1e-8
+# numbers of each side that are gathered to compare small leaves together, and the vectors of a leaf pair that is not
+GATHERED, LARGE_LEAVES = 1 << 22, 4096
 
 
 @dataclass
@@ -128,11 +130,41 @@ def join_trees(one: CoverTree, two: CoverTree, threshold: float
         x, y = np.nonzero(hit)
         edges.append((a + x, shift + c + y))
 
+    direct = np.zeros(n, np.int64), np.zeros(len(two.ids), np.int64)
+    most = max(LARGE_LEAVES, GATHERED // max(1, one.vectors.shape[1]))
+    near: list[tuple[int, int]] = []
+    held = 0
+
+    def compare_all() -> None:
+        """The leaf pairs in ``near``, all their pairs of vectors at once."""
+        i, j = np.array(near).T
+        wide = two.last[j] - two.first[j]
+        sizes = (one.last[i] - one.first[i]) * wide
+        of = np.repeat(np.arange(len(i)), sizes)
+        place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        x, y = one.first[i][of] + place // wide[of], two.first[j][of] + place % wide[of]
+        hit = np.einsum("ij,ij->i", one.vectors[x], two.vectors[y]) / (norms[0][x] * norms[1][y]) >= threshold
+        once = (i == j)[of] if same else np.zeros(len(of), bool)
+        hit |= once & (x == y)
+        x, y, once = x[hit], y[hit], once[hit]
+        np.add.at(direct[0], x, two.copies[y])
+        np.add.at(direct[1], y[~once], one.copies[x[~once]])
+        edges.append((x, shift + y))
+        near.clear()
+
     waiting = [(0, 0)]
     while waiting:
         i, j = waiting.pop()
         if len(one.child[i]) == 0 and len(two.child[j]) == 0:
-            compare(i, j)
+            size = int((one.last[i] - one.first[i]) * (two.last[j] - two.first[j]))
+            if size > LARGE_LEAVES:
+                compare(i, j)
+                continue
+            if held + size > most:
+                compare_all()
+                held = 0
+            near.append((i, j))
+            held += size
             continue
         left = one.child[i] if len(one.child[i]) else np.array([i])
         right = two.child[j] if len(two.child[j]) else np.array([j])
@@ -149,10 +181,12 @@ def join_trees(one: CoverTree, two: CoverTree, threshold: float
             a, b = np.nonzero(open_ & ~inside)
             waiting.extend(zip(some[a].tolist(), right[b].tolist()))
 
+    if near:
+        compare_all()
     if same:
-        ids, total = one.ids, np.cumsum(degrees[0] + degrees[1])[:-1] - one.copies  # not itself
+        ids, total = one.ids, np.cumsum(degrees[0] + degrees[1])[:-1] + direct[0] + direct[1] - one.copies  # not itself
     else:
-        total = np.concatenate([np.cumsum(degrees[0])[:-1], np.cumsum(degrees[1])[:-1]])
+        total = np.concatenate([np.cumsum(d)[:-1] + more for d, more in zip(degrees, direct)])
         ids = np.concatenate([one.ids, two.ids])
     root = _roots(ids, edges)
     some = total > 0

@@ -91,6 +91,33 @@ def test_cover_tree_levels():
             assert (apart[~np.eye(len(kids), dtype=bool)] > radius - 1e-7).all()
 
 
+@pytest.mark.parametrize("gathered", [1 << 22, 1])
+def test_leaves_are_compared_together(monkeypatch, gathered):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(40, 16))
+    v = base[rng.integers(0, 40, 500)] + rng.normal(scale=0.06, size=(500, 16))
+    copies = rng.integers(1, 4, 500)
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.93
+    trees = [covertree.build(np.arange(a, b), copies[a:b], v[a:b]) for a, b in ((0, 250), (250, 500))]
+    steps = []
+    einsum = np.einsum
+    monkeypatch.setattr(covertree, "GATHERED", gathered)
+    monkeypatch.setattr(covertree.np, "einsum", lambda *a: (steps.append(len(a[1])), einsum(*a))[1])
+    for one, two, a, b in ((trees[0], trees[1], slice(0, 250), slice(250, 500)), (trees[0], trees[0], slice(0, 250), slice(0, 250))):
+        ids, links, _ = covertree.join_trees(one, two, 0.93)
+        got, want = dict(zip(ids.tolist(), links.tolist())), np.zeros(500, np.int64)
+        want[a] += linked[a, b] @ copies[b]
+        if one is two:
+            want[a] -= copies[a]
+        else:
+            want[b] += copies[a] @ linked[a, b]
+        assert got == {k: int(n) for k, n in enumerate(want) if n}
+    # many small leaves a step, and no step of more vectors than the bound
+    assert steps and max(steps) <= max(covertree.LARGE_LEAVES, gathered // 16)
+    assert sum(steps) / len(steps) > 16 * covertree.LEAF
+
+
 def brute_nearest(rows, every, k):
     own = [(i, np.array(v, float)) for i, v, _ in rows if i is not None and takes_part(v)]
     out = []
