@@ -27,22 +27,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[Column | str], newest: Sequence
     return first_per_key(df, keys, [F.col(name).desc_nulls_first() for name in newest])
 
 
-def keep_max_key(df: DataFrame, reference: str, key: str,
-                 reference_key: Column | None = None, own_key: Column | None = None) -> DataFrame:
+def newest_keys(df: DataFrame, reference: str, key: str,
+                reference_key: Column | None = None, own_key: Column | None = None) -> DataFrame:
+    """(``_ref``, ``_newest``) of the references with several keys."""
+    value = own_key if own_key is not None else F.col(key)
+    ref = reference_key if reference_key is not None else F.col(reference)
+    return (df.filter(F.col(key).isNotNull())
+            .groupBy(ref.alias("_ref")).agg(F.max(value).alias("_newest"), F.min(value).alias("_oldest"))
+            .filter(F.col("_ref").isNotNull() & (F.col("_oldest") < F.col("_newest"))).drop("_oldest"))
+
+
+def keep_max_key(df: DataFrame, reference: str, key: str, reference_key: Column | None = None,
+                 own_key: Column | None = None, newest: DataFrame | None = None) -> DataFrame:
     """Drop rows whose key is below the largest key of their reference.
 
     Rows without a reference or without a key are not comparable and stay. The
     maximum is a grouped aggregate joined back, so the rows of one reference are
     never gathered in one task. Only references with several keys are joined: where they are few, no row
-    is shuffled. They are staged, so that what finds them is off the disk when wide rows move. ``reference_key`` and ``own_key`` give what is compared
-    where that is not the column itself, such as its folded text.
+    is shuffled. ``reference_key`` and ``own_key`` give what is compared
+    where that is not the column itself, such as its folded text. ``newest`` are the ``newest_keys`` of the
+    same arguments, where they are staged already.
     """
     value = own_key if own_key is not None else F.col(key)
     ref = reference_key if reference_key is not None else F.col(reference)
-    newest = (df.filter(F.col(key).isNotNull())
-              .groupBy(ref.alias("_ref")).agg(F.max(value).alias("_newest"), F.min(value).alias("_oldest"))
-              .filter(F.col("_ref").isNotNull() & (F.col("_oldest") < F.col("_newest"))).drop("_oldest"))
-    newest = stage(newest, "newest")
+    if newest is None:
+        newest = newest_keys(df, reference, key, reference_key, own_key)
     joined = df.withColumn("_own", ref).join(newest, F.col("_own") == F.col("_ref"), "left")
     keep = (F.col("_ref").isNull() | F.col(key).isNull()
             | (value == F.col("_newest")))

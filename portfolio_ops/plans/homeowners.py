@@ -13,7 +13,7 @@ from portfolio_ops.functions.exprs import (
     map_state, numeric_or_zero, same_text, section_suffix, text_in)
 from portfolio_ops.operators.change import (
     assign_by_class, fill_from_first, fill_from_group_max, mapping_by_class)
-from portfolio_ops.operators.dedupe import keep_max_key
+from portfolio_ops.operators.dedupe import keep_max_key, newest_keys
 from portfolio_ops.operators.filters import delete_where
 from portfolio_ops.operators.ordered import GROUP_ROWS, Ordered, ordered_groups
 from portfolio_ops.session import stage
@@ -62,8 +62,9 @@ def rate(name: str) -> Column:
 def clean_feed(feed: DataFrame) -> DataFrame:
     rows = delete_where(feed, F.col("PK_Policy").isNull() & is_blank("PK_Section"))
     rows = delete_where(rows, is_blank("CoverageName") & is_blank("TriFocus"))
-    return keep_max_key(rows, "PolicyReference", "PK_Policy", folded("PolicyReference"),
-                        folded("PK_Policy"))
+    compared = ("PolicyReference", "PK_Policy", folded("PolicyReference"), folded("PK_Policy"))
+    # staged, so that what finds them is off the disk when wide rows move
+    return keep_max_key(rows, *compared, newest=stage(newest_keys(rows, *compared), "newest"))
 
 
 def binder_mapping(sections: DataFrame) -> DataFrame:

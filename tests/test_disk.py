@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from portfolio_ops.operators.contract import Contract, check_contract, enforce
-from portfolio_ops.operators.dedupe import keep_max_key
+from portfolio_ops.operators.dedupe import keep_max_key, newest_keys
 from portfolio_ops.operators.ordered import large_groups
 from portfolio_ops.session import RELEASE, shuffles_released, stage
 from portfolio_ops.sources.snapshot import SnapshotTable
@@ -96,7 +96,7 @@ def test_published_rows_are_all_that_stays(spark, tmp_path):
 def test_what_finds_the_newest_key_is_gone_when_rows_move(spark):
     rows = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1"), (None, "1"), ("c", None)], "r string, k string")
     left = Left(spark)
-    kept = keep_max_key(rows, "r", "k")
+    kept = keep_max_key(rows, "r", "k", newest=stage(newest_keys(rows, "r", "k"), "newest"))
     assert not left.files()
     assert any("newest-" in f for f in kept.inputFiles())
     assert sorted(map(tuple, kept.collect()), key=repr) == [("a", "2"), ("b", "1"), ("c", None), (None, "1")]
@@ -105,12 +105,13 @@ def test_what_finds_the_newest_key_is_gone_when_rows_move(spark):
 @pytest.mark.parametrize("name", ["vault_load_whole", "vault_migration_whole", "claim_movement_ledger_segmented",
                                   "homeowners_section", "homeowners_transaction", "ledger_merge"])
 def test_shuffles_go_with_their_statement(spark, folder, name):
-    left = Left(spark)
+    left, kept = Left(spark), f"{spark.conf.get('spark.checkpoint.dir')}/staged"
+    earlier = set(os.listdir(kept)) if os.path.isdir(kept) else set()
     result = entry.queries()[name](spark, folder)
     assert not left.files()
     assert result.count() > 0
     if name.startswith("vault"):        # tables are written one after another, the result only reads them
         assert "Exchange" not in result._jdf.queryExecution().executedPlan().toString()
     if name.startswith("homeowners"):
-        staged = os.listdir(f"{spark.conf.get('spark.checkpoint.dir')}/staged")
-        assert any(n.startswith("hits-") for n in staged)
+        staged = set(os.listdir(kept)) - earlier
+        assert any(n.startswith("hits-") for n in staged) and any(n.startswith("newest-") for n in staged)
